@@ -38,6 +38,9 @@ class Warehouse:
             f"USING PARQUET OPTIONS (compression 'snappy') "
             f"PARTITIONED BY ({spec.partition}) LOCATION '{self.location(spec)}'"
         )
+        # Recovery needs the folder to exist; appending nothing creates it.
+        nothing = self.spark.createDataFrame([], spec.schema)
+        nothing.write.mode("append").partitionBy(spec.partition).parquet(self.location(spec))
         self.spark.catalog.recoverPartitions(self.name(spec))
 
     def create_all(self) -> None:
