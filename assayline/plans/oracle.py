@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from assayline.plans.registry import DAY
+from assayline.schemas import PIPELINE_TABLES
 
 
 def _padded(prefix: str, number: str) -> str:
@@ -212,6 +213,6 @@ def oracle_sql() -> dict[str, str]:
         found[f"{name}_1d"] = _over_events(body, DAY)
     for name, body in SALES_SQL.items():
         found[f"{name}_lines"] = _with(body, silver_sales=LINE_SALES)
-    for name in ("silver_event", "silver_sales", "gold_item", "gold_sales_region"):
-        found[f"pipeline_{name}"] = found[name]
+    for spec in PIPELINE_TABLES:
+        found[f"table_{spec.name}"] = found[spec.name]
     return found

@@ -56,7 +56,7 @@ class Warehouse:
         A static partition overwrite: no rows empties the day, which a dynamic overwrite
         would leave as it was.
         """
-        kept = spec.conform(rows).drop(spec.partition).hint("rebalance")
+        kept = self._sized(spec, rows).drop(spec.partition)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(spec)} "
             f"PARTITION ({spec.partition} = DATE'{as_day(day).isoformat()}') SELECT * FROM {{rows}}",
@@ -64,14 +64,17 @@ class Warehouse:
         )
 
     def replace_all(self, spec: TableSpec, rows: DataFrame) -> None:
-        """Make `rows` the whole content of the table.
-
-        Rebalancing on the date gives each day few, evenly sized files; a day holding most
-        of the rows is split over several tasks.
-        """
-        by_day = spec.conform(rows).hint("rebalance", spec.partition)
+        """Make `rows` the whole content of the table."""
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(spec)} "
             f"PARTITION ({spec.partition}) SELECT * FROM {{rows}}",
-            rows=by_day,
+            rows=self._sized(spec, rows),
         )
+
+    def _sized(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
+        """Rebalance on the date: few, evenly sized files per day.
+
+        Adaptive execution merges small days into one task and splits a day holding most
+        of the rows over many.
+        """
+        return spec.conform(rows).hint("rebalance", spec.partition)

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from assayline.functions import event_day
 from assayline.schemas import BRONZE_EVENT
 from assayline.sources import read_bronze, read_records, read_rejects
 
+MAX_DAYS = 366
+
 
 @dataclass(frozen=True)
 class LandingReport:
@@ -30,15 +32,32 @@ def land_batch(records: DataFrame, bronze_path: str) -> None:
     are found by an anti-join on the ids of the days this batch touches, so any lateness
     is exact, nothing is kept as state, and a batch that runs twice lands once.
     """
-    spark = records.sparkSession
     dated = records.withColumn(BRONZE_EVENT.partition, event_day())
-    fresh = dated.dropDuplicates(["event_id", BRONZE_EVENT.partition])
-    span = dated.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
-    if span["first"] is not None and (landed := _landed(spark, bronze_path)) is not None:
-        days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
-        known = landed.where(days).select("event_id", "event_date")
+    fresh = dated.dropDuplicates(["event_id", "event_date"])
+    landed = _landed(records.sparkSession, bronze_path)
+    if landed is not None:
+        known = landed.where(_days_of(dated)).select("event_id", "event_date")
         fresh = fresh.join(known, ["event_id", "event_date"], "left_anti")
-    _write(fresh, bronze_path)
+    (
+        BRONZE_EVENT.conform(fresh)
+        .hint("rebalance", BRONZE_EVENT.partition)
+        .write.mode("append")
+        .partitionBy(BRONZE_EVENT.partition)
+        .parquet(bronze_path)
+    )
+
+
+def _days_of(dated: DataFrame) -> Column:
+    """Filter on the partitions a batch touches; reads only its timestamps.
+
+    Batches span a few days. Should broken clocks spread one over more than MAX_DAYS, the
+    whole range between its first and last is taken instead: more to read, same result.
+    """
+    days = [r["event_date"] for r in dated.select("event_date").distinct().limit(MAX_DAYS + 1).collect()]
+    if len(days) <= MAX_DAYS:
+        return F.col("event_date").isin(days)
+    span = dated.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    return F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
 
 
 def land_stream(
@@ -108,13 +127,3 @@ def _landed(spark: SparkSession, bronze_path: str) -> DataFrame | None:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def _write(records: DataFrame, bronze_path: str) -> None:
-    (
-        BRONZE_EVENT.conform(records)
-        .hint("rebalance", BRONZE_EVENT.partition)
-        .write.mode("append")
-        .partitionBy(BRONZE_EVENT.partition)
-        .parquet(bronze_path)
-    )
