@@ -127,7 +127,7 @@ _PLAIN = ("total_revenue", "order_count", "total_quantity", "avg_order_amount")
 
 EVENT_SQL = {
     "gold_funnel": """
-SELECT action, count(*) AS session_count, event_date
+SELECT action, count(session_id) AS session_count, event_date
 FROM (SELECT DISTINCT action, session_id, event_date FROM silver_event)
 GROUP BY action, event_date""",
     "gold_device": """

@@ -75,6 +75,9 @@ class Warehouse:
         """Rebalance on the date: few, evenly sized files per day.
 
         Adaptive execution merges small days into one task and splits a day holding most
-        of the rows over many.
+        of the rows over many. Without it a day would be one task, so rows stay as they are.
         """
-        return spec.conform(rows).hint("rebalance", spec.partition)
+        rows = spec.conform(rows)
+        if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
+            return rows
+        return rows.hint("rebalance", spec.partition)

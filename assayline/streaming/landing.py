@@ -68,7 +68,7 @@ def land_stream(
     *,
     dedup: str = "table",
     lateness: str = "48 hours",
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     rejects_path: str | None = None,
 ) -> LandingReport:
     """Land every file that arrived since the last call, then stop.

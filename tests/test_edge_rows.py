@@ -1,0 +1,152 @@
+"""Negative amounts, unknown items, guests, copies, midnight and all-NULL groups."""
+
+from datetime import date
+
+import pytest
+
+from assayline import operators as op
+from tests.helpers import bronze_of, edge_tables, in_order, record
+
+JAN10, JAN11 = date(2026, 1, 10), date(2026, 1, 11)
+
+
+@pytest.fixture(scope="module")
+def silver(spark):
+    bronze, products = edge_tables(spark)
+    return op.silver_event(bronze).cache(), op.silver_sales(bronze, products).cache()
+
+
+def listed(df):
+    return in_order(tuple(row) for row in df.collect())
+
+
+def test_silver_event(silver):
+    rows = silver[0].collect()
+    assert in_order(r.event_id for r in rows) == ["e1", "e2", "e2", "e3", "e4", "e5", "e7", "e8"]
+    by_id = {r.event_id: r for r in rows}
+    assert (by_id["e1"].event_dow, by_id["e1"].event_hour) == ("Sat", 9)
+    assert (by_id["e3"].event_dow, by_id["e3"].event_hour) == ("Sun", 0)
+    assert by_id["e3"].event_date == JAN11 and by_id["e7"].event_date == JAN10
+    assert [by_id[k].is_member for k in ("e1", "e4", "e8")] == [True, False, False]
+    assert all(r.is_valid_action for r in rows)
+
+
+def test_silver_sales(silver):
+    rows = silver[1].select("order_id", "category", "unit_price", "total_amount")
+    assert listed(rows) == in_order(
+        [
+            ("e2", "식품", 3900, -6100),
+            ("e2", "식품", 3900, -6100),
+            ("e3", "식품", 3900, 7800),
+            ("e4", "전자기기", 129000, 128000),
+            ("e5", None, None, None),
+        ]
+    )
+
+
+EXPECTED = {
+    "gold_funnel": [
+        ("purchase", 3, JAN10),
+        ("search", 1, JAN10),
+        ("view", 2, JAN10),
+        ("purchase", 1, JAN11),
+    ],
+    "gold_device": [
+        ("mobile", "purchase", 3, JAN10),
+        ("mobile", "view", 1, JAN10),
+        ("mobile", "search", 1, JAN10),
+        ("desktop", "purchase", 1, JAN10),
+        ("desktop", "view", 1, JAN10),
+        ("mobile", "purchase", 1, JAN11),
+    ],
+    "gold_search": [("운동화", 1, JAN10)],
+    "gold_campaign": [("CAMP-001", 2, 1, 50.0, JAN10)],
+}
+EXPECTED_SALES = {
+    "gold_sales_daily": [(115800, 3, 2, 4, 38600.0, JAN10), (7800, 1, 1, 2, 7800.0, JAN11)],
+    "gold_sales_product": [
+        ("ITEM-101", 128000, 1, 1, 128000.0, JAN10),
+        ("ITEM-309", -12200, 1, 2, -6100.0, JAN10),
+        ("ITEM-999", None, 1, 1, None, JAN10),
+        ("ITEM-309", 7800, 1, 2, 7800.0, JAN11),
+    ],
+    "gold_sales_category": [
+        ("식품", -12200, 1, 2, -6100.0, JAN10),
+        ("전자기기", 128000, 1, 1, 128000.0, JAN10),
+        ("식품", 7800, 1, 2, 7800.0, JAN11),
+    ],
+    "gold_sales_user": [
+        ("USER-001", 1, -12200, 2, -6100.0, JAN10),
+        ("USER-002", 1, None, 1, None, JAN10),
+        ("USER-001", 1, 7800, 2, 7800.0, JAN11),
+    ],
+    "gold_sales_payment": [
+        ("card", 115800, 2, 38600.0, JAN10),
+        ("kakao_pay", None, 1, None, JAN10),
+        ("card", 7800, 1, 7800.0, JAN11),
+    ],
+    "gold_sales_region": [
+        ("서울", -12200, 1, 1, -6100.0, JAN10),
+        ("부산", 128000, 1, 0, 128000.0, JAN10),
+        ("경기", None, 1, 1, None, JAN10),
+        ("서울", 7800, 1, 1, 7800.0, JAN11),
+    ],
+}
+EXPECTED_ITEM = [
+    ("ITEM-101", 1, 0, 1, 100.0, 0, 0.0, JAN10),
+    ("ITEM-309", 1, 0, 1, 100.0, -8800, -1466.67, JAN10),
+    ("ITEM-309", 0, 0, 1, None, -4400, -1466.67, JAN11),
+    ("ITEM-999", 0, 0, 1, None, 0, 0.0, JAN10),
+]
+
+
+@pytest.mark.parametrize("name", EXPECTED)
+def test_event_tables(silver, name):
+    assert listed(getattr(op, name)(silver[0])) == in_order(EXPECTED[name])
+
+
+@pytest.mark.parametrize("name", EXPECTED_SALES)
+def test_sales_tables(silver, name):
+    assert listed(getattr(op, name)(silver[1])) == in_order(EXPECTED_SALES[name])
+
+
+def test_item_table(silver):
+    assert listed(op.gold_item(*silver)) == in_order(EXPECTED_ITEM)
+
+
+@pytest.mark.parametrize("day", [JAN10, "2026-01-11"])
+def test_one_day_is_its_part_of_the_backfill(silver, day):
+    events, sales = silver
+    wanted = date.fromisoformat(str(day))
+    for name, rows in EXPECTED.items():
+        assert listed(getattr(op, name)(events, day)) == in_order(r for r in rows if r[-1] == wanted)
+    for name, rows in EXPECTED_SALES.items():
+        assert listed(getattr(op, name)(sales, day)) == in_order(r for r in rows if r[-1] == wanted)
+    assert listed(op.gold_item(events, sales, day)) == in_order(
+        r for r in EXPECTED_ITEM if r[-1] == wanted
+    )
+
+
+def test_by_order_counts_guests_and_a_copied_event_twice_two(silver):
+    events, sales = silver
+    revenue = {
+        (r.item_id, r.event_date): r.total_revenue
+        for r in op.gold_item_by_order(events, sales).collect()
+    }
+    assert revenue[("ITEM-101", JAN10)] == 128000
+    assert revenue[("ITEM-309", JAN10)] == -24400
+    once = op.gold_item_by_order(events.dropDuplicates(["event_id"]), sales.distinct())
+    assert {(r.item_id, r.event_date): r.total_revenue for r in once.collect()}[
+        ("ITEM-309", JAN10)
+    ] == -6100
+
+
+def test_malformed_time_fails(spark):
+    bad = bronze_of(spark, [record("x", "not a time", "SESS-001", "view")])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        op.silver_event(bad).collect()
+
+
+def test_null_action_is_dropped(spark):
+    rows = bronze_of(spark, [record("x", "2026-01-10 00:00:00", "SESS-001", None)])
+    assert op.silver_event(rows).count() == 0
