@@ -91,16 +91,27 @@ SELECT item_id, event_date,
 FROM silver_event WHERE item_id IS NOT NULL GROUP BY ALL"""
 
 
+def _half_up(total: str, count: str) -> str:
+    """total / count to two decimals, ties away from zero, in whole numbers throughout."""
+    return (
+        f"CAST(sign({total}) * ((abs({total}) * 200 + {count}) // nullif(2 * {count}, 0)) "
+        "AS DOUBLE) / 100"
+    )
+
+
+_MEAN = _half_up("sum(total_amount)", "count(total_amount)")
+
+
 def _item(match: str) -> str:
     """Every matching pair of purchase event and sales row, unreduced."""
     return f"""
 SELECT item_id, view_count, cart_count, purchase_count,
-       CAST(round(100.0 * purchase_count / nullif(view_count, 0), 2) AS DOUBLE) AS conversion_rate,
+       {_half_up('100 * purchase_count', 'view_count')} AS conversion_rate,
        coalesce(revenue, 0) AS total_revenue, coalesce(mean, 0.0) AS avg_order_amount, event_date
 FROM ({_ITEM_SESSIONS}) AS counts
 LEFT JOIN (
     SELECT e.item_id, e.event_date, CAST(sum(total_amount) AS BIGINT) AS revenue,
-           round(avg(total_amount), 2) AS mean
+           {_MEAN} AS mean
     FROM silver_event AS e JOIN silver_sales AS s ON {match}
     WHERE e.action = 'purchase' AND e.item_id IS NOT NULL
     GROUP BY e.item_id, e.event_date
@@ -115,7 +126,7 @@ def _kpis(*measures: str, key: str | None = None) -> str:
         "order_count": "count(DISTINCT order_id)",
         "user_count": "count(DISTINCT user_id)",
         "total_quantity": "CAST(sum(quantity) AS BIGINT)",
-        "avg_order_amount": "round(avg(total_amount), 2)",
+        "avg_order_amount": _MEAN,
     }
     columns = [f"{known[name]} AS {name}" for name in measures]
     columns = ([key] if key else []) + columns + ["dt AS order_date"]
@@ -136,9 +147,9 @@ FROM silver_event GROUP BY device, action, event_date""",
     "gold_search": """
 SELECT search_keyword, count(*) AS count_search_keyword, event_date
 FROM silver_event WHERE action = 'search' GROUP BY search_keyword, event_date""",
-    "gold_campaign": """
+    "gold_campaign": f"""
 SELECT campaign_id, visitors AS visit_user_count, buyers AS purchase_count,
-       CAST(round(100.0 * buyers / nullif(sessions, 0), 2) AS DOUBLE) AS conversion_rate, event_date
+       {_half_up('100 * buyers', 'sessions')} AS conversion_rate, event_date
 FROM (
     SELECT campaign_id, event_date, count(DISTINCT user_id) AS visitors,
            count(DISTINCT session_id) AS sessions,
