@@ -21,6 +21,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.sql.parquet.compression.codec": "snappy",
+    # One run compiles more stages than the default cache of 100 keeps; evicted code is
+    # compiled and warmed up again.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     # Deduplication state lives on disk, so it is not bounded by executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
