@@ -27,7 +27,7 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
 
     for name, text in (("day", "replace one day"), ("backfill", "replace all days")):
         command = commands.add_parser(name, help=f"{text} in all thirteen tables")
-        command.add_argument("--bronze", required=True)
+        command.add_argument("--bronze", required=True, nargs="+", help="landed folders")
         command.add_argument("--products", required=True, help="product master CSV")
         command.add_argument("--warehouse", required=True, help="root folder of the tables")
         command.add_argument("--prefix", default="shop", help="database name prefix")
@@ -56,7 +56,7 @@ def main(arguments: list[str] | None = None) -> int:
             return 1
         return 0
     warehouse = Warehouse(spark, given.warehouse, given.prefix)
-    bronze = read_bronze(spark, given.bronze)
+    bronze = read_bronze(spark, *given.bronze)
     products = read_products(spark, given.products)
     if given.command == "backfill":
         backfill(warehouse, bronze, products)

@@ -219,6 +219,7 @@ def oracle_sql() -> dict[str, str]:
     for name, body in silver.items():
         found[name] = _over_events(body)
         found[f"{name}_1d"] = _over_events(f"{body} WHERE {date_of[name]} = DATE '{DAY}'")
+    found["silver_sales_shuffled"] = found["silver_sales"]
     for name, body in {**EVENT_SQL, **ITEM_SQL, **SALES_SQL}.items():
         found[name] = _over_events(body)
         found[f"{name}_1d"] = _over_events(body, DAY)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from assayline import operators as op
+from assayline.operators.lookup import LookupBounds
 from assayline.plans.pipeline import backfill, run_day
 from assayline.schemas import BRONZE_EVENT, PIPELINE_TABLES, TableSpec
 from assayline.session import scratch_path
@@ -85,6 +86,12 @@ def silver_sales(spark, sf_dir, day=None):
     return op.silver_sales(_bronze(spark, sf_dir), _products(spark, sf_dir), day)
 
 
+def silver_sales_shuffled(spark, sf_dir):
+    """The product join as it runs when the product master is too large to broadcast."""
+    products = _products(spark, sf_dir)
+    return op.silver_sales(_bronze(spark, sf_dir), products, bounds=LookupBounds(rows=0))
+
+
 # --- sources and landing ------------------------------------------------------------
 
 
@@ -147,6 +154,7 @@ def queries() -> dict[str, Query]:
         "bronze_ingest_watermark": _ingest("watermark"),
         "silver_event": silver_event,
         "silver_sales": silver_sales,
+        "silver_sales_shuffled": silver_sales_shuffled,
         "silver_event_1d": lambda spark, sf_dir: silver_event(spark, sf_dir, DAY),
         "silver_sales_1d": lambda spark, sf_dir: silver_sales(spark, sf_dir, DAY),
     }

@@ -5,6 +5,8 @@ The readers take `spark.read` or `spark.readStream`, so batch and stream parse a
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from assayline.schemas import BRONZE, BRONZE_EVENT
@@ -50,6 +52,7 @@ def write_records(records: DataFrame, path: str) -> None:
     )
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """The landed table; its event_date partition prunes daily runs."""
-    return spark.read.schema(BRONZE_EVENT.schema).parquet(path)
+def read_bronze(spark: SparkSession, *paths: str) -> DataFrame:
+    """The landed table, from one or more folders; its event_date prunes daily runs."""
+    tables = [spark.read.schema(BRONZE_EVENT.schema).parquet(path) for path in paths]
+    return reduce(DataFrame.unionByName, tables)

@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from assayline.functions import event_day
-from assayline.schemas import BRONZE_EVENT
-from assayline.sources import read_bronze, read_records, read_rejects
+from assayline.schemas import BRONZE, BRONZE_EVENT
+from assayline.sources import read_records, read_rejects
 
 MAX_DAYS = 366
 
 
 @dataclass(frozen=True)
 class LandingReport:
-    """Records too late for the watermark were not landed; land their files as a batch."""
+    """How many records came too late for the watermark and were not landed.
+
+    Land their files again with `land_batch`, into a folder of its own: in the stream's
+    folder readers see only what the stream wrote. `read_bronze` takes both.
+    """
 
     late_rows: int
 
@@ -32,14 +36,23 @@ def land_batch(records: DataFrame, bronze_path: str) -> None:
     are found by an anti-join on the ids of the days this batch touches, so any lateness
     is exact, nothing is kept as state, and a batch that runs twice lands once.
     """
-    dated = records.withColumn(BRONZE_EVENT.partition, event_day())
-    fresh = dated.dropDuplicates(["event_id", "event_date"])
-    landed = _landed(records.sparkSession, bronze_path)
-    if landed is not None:
-        known = landed.where(_days_of(dated)).select("event_id", "event_date")
-        fresh = fresh.join(known, ["event_id", "event_date"], "left_anti")
+    _write(unlanded(records, bronze_path), bronze_path)
+
+
+def unlanded(records: DataFrame, bronze_path: str) -> DataFrame:
+    """One of each record that bronze does not hold yet; both sides hash on the same key."""
+    identity = ["_key", "event_date"]
+    dated = records.withColumn("event_date", event_day())
+    fresh = dated.withColumn("_key", _identity()).dropDuplicates(identity)
+    known = _landed_ids(records.sparkSession, bronze_path, dated)
+    if known is not None:
+        fresh = fresh.join(known.withColumnRenamed("event_id", "_key"), identity, "left_anti")
+    return fresh.drop("_key")
+
+
+def _write(records: DataFrame, bronze_path: str) -> None:
     (
-        BRONZE_EVENT.conform(fresh)
+        BRONZE_EVENT.conform(records)
         .hint("rebalance", BRONZE_EVENT.partition)
         .write.mode("append")
         .partitionBy(BRONZE_EVENT.partition)
@@ -47,17 +60,35 @@ def land_batch(records: DataFrame, bronze_path: str) -> None:
     )
 
 
-def _days_of(dated: DataFrame) -> Column:
-    """Filter on the partitions a batch touches; reads only its timestamps.
+def _identity() -> Column:
+    """What makes a record the same one. Without an id, only an equal record is."""
+    return F.coalesce("event_id", F.to_json(F.struct(*BRONZE.names)))
+
+
+def _landed_ids(spark: SparkSession, bronze_path: str, dated: DataFrame) -> DataFrame | None:
+    """Ids landed on the days a batch touches; None if there are none of those days yet.
 
-    Batches span a few days. Should broken clocks spread one over more than MAX_DAYS, the
-    whole range between its first and last is taken instead: more to read, same result.
+    A batch touches few days, so only their folders are listed and read. Should broken
+    clocks spread one over more than MAX_DAYS, the range between its first and last day is
+    read instead: more work, same result.
     """
-    days = [r["event_date"] for r in dated.select("event_date").distinct().limit(MAX_DAYS + 1).collect()]
-    if len(days) <= MAX_DAYS:
-        return F.col("event_date").isin(days)
-    span = dated.agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
-    return F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
+    found = dated.select("event_date").where("event_date IS NOT NULL").distinct()
+    days = [r["event_date"].isoformat() for r in found.limit(MAX_DAYS + 1).collect()]
+    if not days:
+        return None
+    few = len(days) <= MAX_DAYS
+    folders = f"{bronze_path}/event_date={{{','.join(sorted(days))}}}" if few else bronze_path
+    reader = spark.read.schema(BRONZE_EVENT.schema).option("basePath", bronze_path)
+    try:
+        landed = reader.parquet(folders)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if not few:
+        span = found.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
+        landed = landed.where(F.col("event_date").between(F.lit(span["a"]), F.lit(span["b"])))
+    return landed.select("event_id", "event_date")
 
 
 def land_stream(
@@ -90,10 +121,11 @@ def land_stream(
         sink = records.writeStream.foreachBatch(lambda rows, _: land_batch(rows, bronze_path))
     else:
         unique = (
-            records.withColumn("_at", F.to_timestamp("event_timestamp"))
+            records.withColumn("_key", _identity())
+            .withColumn("_at", F.to_timestamp("event_timestamp"))
             .withWatermark("_at", lateness)
-            .dropDuplicatesWithinWatermark(["event_id"])
-            .drop("_at")
+            .dropDuplicatesWithinWatermark(["_key"])
+            .drop("_key", "_at")
         )
         sink = (
             BRONZE_EVENT.conform(unique.withColumn(BRONZE_EVENT.partition, event_day()))
@@ -118,12 +150,3 @@ def _run(sink, checkpoint: str) -> int:
         for progress in query.recentProgress
         for operator in progress["stateOperators"]
     )
-
-
-def _landed(spark: SparkSession, bronze_path: str) -> DataFrame | None:
-    try:
-        return read_bronze(spark, bronze_path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise

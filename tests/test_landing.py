@@ -5,9 +5,10 @@ import os
 
 import pytest
 
+from assayline.functions import event_day
 from assayline.sources import read_bronze, read_products, read_records, read_rejects, write_records
 from assayline.streaming import land_batch, land_stream, landing
-from tests.helpers import EDGE_RECORDS, bronze_of, record, rows_of
+from tests.helpers import EDGE_RECORDS, bronze_of, plan_of, record, rows_of
 
 UNIQUE = ["e1", "e2", "e3", "e4", "e5", "e6", "e7", "e8"]
 
@@ -51,6 +52,15 @@ def test_resent_records_land_once(spark, paths, dedup):
     assert ids(spark, paths["bronze"]) == UNIQUE
 
 
+@pytest.mark.parametrize("dedup", ["table", "watermark"])
+def test_records_without_an_id_are_not_merged(spark, paths, dedup):
+    records = [record(None, "2026-01-10 00:00:00", f"S{i}", "view") for i in range(5)]
+    send(paths["raw"], records + records[:2], "1.json")
+    stream(spark, paths, dedup=dedup)
+    sessions = read_bronze(spark, paths["bronze"]).select("session_id")
+    assert sorted(r.session_id for r in sessions.collect()) == ["S0", "S1", "S2", "S3", "S4"]
+
+
 def test_any_lateness_lands_against_the_table(spark, paths):
     send(paths["raw"], [record("new", "2026-03-01 00:00:00", "S", "view")], "1.json")
     stream(spark, paths)
@@ -66,6 +76,10 @@ def test_watermark_reports_what_came_too_late(spark, paths):
     send(paths["raw"], late, "2.json")
     assert stream(spark, paths, dedup="watermark").late_rows == 1
     assert ids(spark, paths["bronze"]) == ["new"]
+    apart = paths["bronze"] + "-late"
+    land_batch(read_records(spark.read, paths["raw"] + "/2.json"), apart)
+    both = read_bronze(spark, paths["bronze"], apart)
+    assert sorted(r.event_id for r in both.collect()) == ["late", "new"]
 
 
 def test_small_micro_batches(spark, paths):
@@ -129,3 +143,29 @@ def test_products_csv(spark, tmp_path):
     path.write_text("item_id,name,category,price\nITEM-309,x,y,cheap\n", encoding="utf-8")
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         read_products(spark, str(path)).collect()
+
+
+def test_batch_shuffles_its_records_once(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json")
+    records = read_records(spark.read, paths["raw"])
+    land_batch(records, paths["bronze"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(landing.unlanded(records, paths["bronze"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    assert plan.count("Exchange hashpartitioning") == 2
+    known = plan[plan.rindex("FileScan parquet") :]
+    assert "ReadSchema: struct<event_id:string>" in known
+
+
+def test_batch_lists_only_the_days_it_touches(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json")
+    records = read_records(spark.read, paths["raw"])
+    land_batch(records, paths["bronze"])
+    one_day = records.where("event_timestamp < '2026-01-11'")
+    known = landing._landed_ids(spark, paths["bronze"], one_day.withColumn("event_date", event_day()))
+    assert all("event_date=2026-01-10" in path for path in known.inputFiles())
+    assert sorted(r.event_id for r in known.collect()) == [i for i in UNIQUE if i != "e3"]
+    later = records.limit(1).selectExpr("*", "date'2030-01-01' as event_date")
+    assert landing._landed_ids(spark, paths["bronze"], later) is None
