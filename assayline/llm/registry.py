@@ -7,27 +7,78 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from assayline.llm import language, quality
 from assayline.llm.bpe_tree import encode_digests
-from assayline.llm.tables import documents
+from assayline.llm.cover_tree import top_k
+from assayline.llm.license_scan import scan_licenses
+from assayline.llm.tables import documents, ship
 from assayline.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.classify(documents(spark, sf_dir), labels)
+
+
 def op4_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identify(docs, language.fit(docs))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def _shipping(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
+    found = {
+        "op1_quality": op1_quality,
         "op4_bpe_tree": op4_bpe_tree,
+        "op5_top_k": op5_top_k,
+        "op6_language": op6_language,
         "op7_token_counts": op7_token_counts,
+        "op10_license_scan": op10_license_scan,
     }
+    return {name: _shipping(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_top_k": TOP_K_SQL}
