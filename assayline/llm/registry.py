@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayline.llm import language, quality
+from assayline.llm import language, pii, quality
 from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
 from assayline.llm.license_scan import scan_licenses
@@ -22,6 +22,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), labels)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op4_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -71,6 +75,7 @@ def _shipping(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op1_quality": op1_quality,
+        "op3_pii": op3_pii,
         "op4_bpe_tree": op4_bpe_tree,
         "op5_top_k": op5_top_k,
         "op6_language": op6_language,
