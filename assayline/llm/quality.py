@@ -14,9 +14,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from assayline.llm.tables import id_remainder, pick, written
+from assayline.llm.tables import id_remainder, pick, with_measure, written
 
 FEATURES = (
     "log_chars",
@@ -116,14 +117,11 @@ def features_of(text: str | None) -> list[float]:
     ]
 
 
-def features(text: str) -> Column:
-    """The features of a text column."""
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def measure(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.array(features_of(t), np.float32) for t in texts])
-
-    return measure(text)
+def with_shape(df: DataFrame, text: str = "text", name: str = "shape") -> DataFrame:
+    """`df` with the features of its text."""
+    return with_measure(
+        df, text, name, T.ArrayType(T.DoubleType()), pa.list_(pa.float64()), features_of
+    )
 
 
 # --- the model
@@ -288,8 +286,7 @@ def score(model: QualityModel, shape: Column) -> Column:
 
 def shapes_of(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id and features of every row."""
-    rows = pick(docs, doc_id=doc_id, text=text)
-    return rows.select("doc_id", features("text").alias("shape"))
+    return with_shape(pick(docs, doc_id=doc_id, text=text)).drop("text")
 
 
 def classify(
@@ -305,3 +302,14 @@ def classify(
     held = F.coalesce(id_remainder("doc_id", settings.folds) == settings.held, F.lit(False))
     scored = shapes.select("doc_id", held.alias("held_out"), score(model, F.col("shape")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= settings.threshold).cast("int"))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()
+) -> DataFrame:
+    """The rows whose text is predicted to be of good quality, with their own columns."""
+    shaped = written(with_shape(docs, name="_shape"), "quality-kept")
+    rows = shaped.select(shaped["doc_id"], shaped["_shape"].alias("shape"))
+    model = fit(rows, labels, settings)
+    good = score(model, F.col("_shape")) >= settings.threshold
+    return shaped.where(good).select(*docs.columns)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from assayline.session import scratch_path
 
@@ -54,3 +56,30 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def with_measure(
+    df: DataFrame,
+    text: str,
+    name: str,
+    kind: T.DataType,
+    arrow: pa.DataType,
+    measure: Callable[[str | None], object],
+    at_once: int = 256,
+) -> DataFrame:
+    """All columns of `df` as they are, and one more made from the text column.
+
+    Rows pass as Arrow; only `at_once` texts at a time become Python objects.
+    """
+    place = df.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, at_once):
+                part = batch.slice(k, at_once)
+                made = [measure(t) for t in part.column(place).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(made, arrow)], names=[*part.schema.names, name]
+                )
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
