@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from assayline.llm import language, pii, quality
 from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
+from assayline.llm.decontaminate import find_leaks
 from assayline.llm.license_scan import scan_licenses
 from assayline.llm.tables import documents, ship
 from assayline.llm.token_counts import token_counts
@@ -43,6 +44,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(documents(spark, sf_dir), benchmark).drop("key")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
@@ -80,6 +86,7 @@ def queries() -> dict[str, Query]:
         "op5_top_k": op5_top_k,
         "op6_language": op6_language,
         "op7_token_counts": op7_token_counts,
+        "op8_decontaminate": op8_decontaminate,
         "op10_license_scan": op10_license_scan,
     }
     return {name: _shipping(query) for name, query in found.items()}

@@ -48,6 +48,11 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % divisor
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, also where `body` uses it in inner lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` stored once in the cluster's shared folder and read back.
 
