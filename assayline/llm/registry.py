@@ -12,6 +12,7 @@ from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
 from assayline.llm.decontaminate import find_leaks
 from assayline.llm.license_scan import scan_licenses
+from assayline.llm.near_dedup import near_duplicates
 from assayline.llm.tables import documents, ship
 from assayline.llm.token_counts import token_counts
 
@@ -23,6 +24,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir), labels)
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
@@ -81,6 +86,7 @@ def _shipping(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op1_quality": op1_quality,
+        "op2_near_dedup": op2_near_dedup,
         "op3_pii": op3_pii,
         "op4_bpe_tree": op4_bpe_tree,
         "op5_top_k": op5_top_k,
