@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from assayline.llm.tables import pick
+from assayline.llm.tables import map_rows, pick
 
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 FULL_SCHEMA = "doc_id bigint, ids array<int>, decoded string"
@@ -303,7 +303,7 @@ def encode_documents(
                 }
             )
 
-    return pick(docs, doc_id=doc_id, text=text).mapInPandas(run, FULL_SCHEMA)
+    return map_rows(pick(docs, doc_id=doc_id, text=text), run, FULL_SCHEMA)
 
 
 def encode_digests(
@@ -333,4 +333,4 @@ def encode_digests(
                 }
             )
 
-    return pick(docs, doc_id=doc_id, text=text).mapInPandas(run, SCHEMA)
+    return map_rows(pick(docs, doc_id=doc_id, text=text), run, SCHEMA)

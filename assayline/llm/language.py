@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from assayline.llm.tables import id_remainder, pick
+from assayline.llm.tables import id_remainder, map_rows, pick
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 UNKNOWN = "und"
@@ -206,4 +206,4 @@ def identify(
         "held_out",
         F.coalesce(id_remainder("doc_id", settings.folds) == settings.held, F.lit(False)),
     )
-    return rows.mapInPandas(run, SCHEMA)
+    return map_rows(rows, run, SCHEMA)

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from assayline.llm.tables import pick
+from assayline.llm.tables import map_rows, pick
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
@@ -189,10 +189,9 @@ def find_notices(
 
     def build(ids, found):
         rows = [(i, *s[:4]) for i, f in zip(ids, found) for s in f.spans]
-        frame = pd.DataFrame(rows, columns=["doc_id", "label", "start", "end", "errors"])
-        return frame.astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=["doc_id", "label", "start", "end", "errors"])
 
-    return pick(docs, doc_id=doc_id, text=text).mapInPandas(_run(settings, build), SPAN_SCHEMA)
+    return map_rows(pick(docs, doc_id=doc_id, text=text), _run(settings, build), SPAN_SCHEMA)
 
 
 def scan_licenses(
@@ -213,7 +212,7 @@ def scan_licenses(
     def build(ids, found):
         return pd.DataFrame(
             {
-                "doc_id": pd.array(ids, dtype="Int64") if ids else pd.array([], dtype="Int64"),
+                "doc_id": ids,
                 "n_words": [f.n_words for f in found],
                 "n_base": [len(f.base) for f in found],
                 "first_word": pd.array([min(f.base)[0] if f.base else None for f in found], "Int64"),
@@ -228,11 +227,7 @@ def scan_licenses(
             }
         )
 
-    def floats(ids, found):
-        ids = [None if i is None or i != i else int(i) for i in ids]
-        return build(ids, found)
-
-    return pick(docs, doc_id=doc_id, text=text).mapInPandas(_run(settings, floats), SCHEMA)
+    return map_rows(pick(docs, doc_id=doc_id, text=text), _run(settings, build), SCHEMA)
 
 
 def _joined(labels) -> str:

@@ -13,6 +13,7 @@ from assayline.llm.cover_tree import top_k
 from assayline.llm.decontaminate import find_leaks
 from assayline.llm.license_scan import scan_licenses
 from assayline.llm.near_dedup import near_duplicates
+from assayline.llm.suffix_dedup import deduplicate
 from assayline.llm.tables import documents, ship
 from assayline.llm.token_counts import token_counts
 
@@ -54,6 +55,10 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(documents(spark, sf_dir), benchmark).drop("key")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deduplicate(documents(spark, sf_dir))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Query]:
         "op6_language": op6_language,
         "op7_token_counts": op7_token_counts,
         "op8_decontaminate": op8_decontaminate,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_license_scan": op10_license_scan,
     }
     return {name: _shipping(query) for name, query in found.items()}

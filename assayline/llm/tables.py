@@ -63,6 +63,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_rows(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """mapInPandas over rows with a doc_id, which passes as text: a null among whole numbers
+    would turn the others into floating-point numbers."""
+    texts = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    made = texts.mapInPandas(run, schema.replace("doc_id bigint", "doc_id string"))
+    return made.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def with_measure(
     df: DataFrame,
     text: str,

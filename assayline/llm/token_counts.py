@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from assayline.llm.tables import pick
+from assayline.llm.tables import map_rows, pick
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 
@@ -266,4 +266,4 @@ def token_counts(
                 }
             )
 
-    return pick(docs, doc_id=doc_id, text=text).mapInPandas(run, SCHEMA)
+    return map_rows(pick(docs, doc_id=doc_id, text=text), run, SCHEMA)
