@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assayline.llm.tables import let, pick
+from assayline.llm.tables import let, pick, written
 
 BITS = 64
 
@@ -179,7 +179,8 @@ def find_leaks(
     windows once; items with equal words are all reported. Other columns are left out.
     """
     items = _items(benchmark, settings, item_id, item_text)
-    windows = _windows(docs, items, settings, doc_id, text)
+    # Stored, as they are used twice and all texts are read for them.
+    windows = written(_windows(docs, items, settings, doc_id, text), "leak-windows")
     size = settings.shingle
     # A passage that many documents hold is compared once.
     passages = windows.select("length", "window").distinct()
