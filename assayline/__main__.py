@@ -22,12 +22,12 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     land.add_argument("--bronze", required=True)
     land.add_argument("--state", required=True, help="checkpoint folder")
     land.add_argument("--rejects", help="set malformed lines aside here instead of failing")
-    land.add_argument("--dedup", choices=("table", "watermark"), default="table")
     land.add_argument("--max-bytes", type=int, help="bound of one micro-batch")
 
     for name, text in (("day", "replace one day"), ("backfill", "replace all days")):
         command = commands.add_parser(name, help=f"{text} in all thirteen tables")
         command.add_argument("--bronze", required=True, nargs="+", help="landed folders")
+        command.add_argument("--bronze-sales", nargs="+", help="landed folders of the sales, if apart")
         command.add_argument("--products", required=True, help="product master CSV")
         command.add_argument("--warehouse", required=True, help="root folder of the tables")
         command.add_argument("--prefix", default="shop", help="database name prefix")
@@ -42,26 +42,24 @@ def main(arguments: list[str] | None = None) -> int:
     given = parse(arguments)
     spark = build_session(f"assayline-{given.command}")
     if given.command == "land":
-        report = land_stream(
+        land_stream(
             spark,
             given.source,
             given.bronze,
             given.state,
-            dedup=given.dedup,
             max_bytes=given.max_bytes,
             rejects_path=given.rejects,
         )
-        if report.late_rows:
-            print(f"{report.late_rows} records came after the watermark", file=sys.stderr)
-            return 1
         return 0
     warehouse = Warehouse(spark, given.warehouse, given.prefix)
-    bronze = read_bronze(spark, *given.bronze)
+    day = None if given.command == "backfill" else given.day or target_day(given.run_date)
+    bronze = read_bronze(spark, *given.bronze, day=day)
+    orders = read_bronze(spark, *given.bronze_sales, day=day) if given.bronze_sales else None
     products = read_products(spark, given.products)
     if given.command == "backfill":
-        backfill(warehouse, bronze, products)
+        backfill(warehouse, bronze, products, sales_bronze=orders)
     else:
-        run_day(warehouse, bronze, products, given.day or target_day(given.run_date))
+        run_day(warehouse, bronze, products, day, sales_bronze=orders)
     return 0
 
 

@@ -12,6 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, functions as F
 
 from assayline.functions import average, is_action, on_day, percent
+from assayline.operators.lookup import LookupBounds, fits
 from assayline.schemas import (
     GOLD_CAMPAIGN,
     GOLD_DEVICE,
@@ -110,13 +111,21 @@ def _item_table(sessions: DataFrame, money: DataFrame) -> DataFrame:
     )
 
 
-def gold_item(events: DataFrame, sales: DataFrame, day: date | str | None = None) -> DataFrame:
+def gold_item(
+    events: DataFrame,
+    sales: DataFrame,
+    day: date | str | None = None,
+    bounds: LookupBounds = LookupBounds(),
+) -> DataFrame:
     """Item conversion plus revenue, matching purchases to sales by item and user.
 
     Each purchase event of an (item, user) pair counts all sales of that pair, from every
     loaded day, so a pair with several purchases counts them several times; guests match
     nothing. Joining k purchase events to m sales would make k*m rows: here both sides are
     first reduced to one row per pair (and day), and the sums are multiplied instead.
+
+    For one day the sales history is first narrowed to the pairs that bought on that day.
+    They are counted and, within the bounds, broadcast, so the history is not shuffled.
     """
     rows = on_day(events, "event_date", day).where(F.col("item_id").isNotNull())
     bought = (
@@ -124,9 +133,14 @@ def gold_item(events: DataFrame, sales: DataFrame, day: date | str | None = None
         .groupBy("item_id", "user_id", "event_date")
         .agg(F.count("*").alias("times"))
     )
+    history = sales.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
+    if day is not None:
+        pairs = bought.select("item_id", "user_id")
+        if fits(pairs, bounds):
+            pairs = F.broadcast(pairs)
+        history = history.join(pairs, ["item_id", "user_id"], "left_semi")
     sold = (
-        sales.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
-        .groupBy("item_id", "user_id")
+        history.groupBy("item_id", "user_id")
         .agg(F.sum("total_amount").alias("amount"), F.count("total_amount").alias("priced"))
     )
     money = bought.join(sold, ["item_id", "user_id"]).select(
@@ -143,18 +157,25 @@ def gold_item_by_order(
 ) -> DataFrame:
     """Item conversion plus revenue, matching each purchase event to its own order.
 
-    Guests count, and nothing counts twice as long as event ids are unique: feed it from
-    deduplicated records.
+    An order is its id and its day, so a day alone gives what it gives among all days.
+    Guests count. Both sides are reduced to one row per order before they meet.
     """
     rows = on_day(events, "event_date", day).where(F.col("item_id").isNotNull())
-    bought = rows.where(F.col("action") == "purchase").select(
-        F.col("event_id").alias("order_id"), "item_id", "event_date"
+    bought = (
+        rows.where((F.col("action") == "purchase") & F.col("event_id").isNotNull())
+        .groupBy(F.col("event_id").alias("order_id"), "item_id", "event_date")
+        .agg(F.count("*").alias("times"))
     )
     sold = (
         on_day(sales, "dt", day)
         .where(F.col("order_id").isNotNull())
-        .groupBy("order_id")
-        .agg(F.sum("total_amount").alias("revenue"), F.count("total_amount").alias("sales"))
+        .groupBy("order_id", F.col("dt").alias("event_date"))
+        .agg(F.sum("total_amount").alias("amount"), F.count("total_amount").alias("priced"))
+    )
+    money = bought.join(sold, ["order_id", "event_date"]).select(
+        "item_id",
+        "event_date",
+        (F.col("times") * F.col("amount")).alias("revenue"),
+        (F.col("times") * F.col("priced")).alias("sales"),
     )
-    money = bought.join(sold, "order_id").select("item_id", "event_date", "revenue", "sales")
     return _item_table(_item_sessions(rows), money)

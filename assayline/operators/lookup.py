@@ -1,8 +1,8 @@
 """LEFT JOIN of a large fact table onto a dimension that is usually small.
 
 The dimension is measured first. Within the bounds it is broadcast, so facts are never
-shuffled. Beyond them both sides are shuffled, with the heaviest keys salted so that one
-item holding a third of all rows still spreads over many tasks.
+shuffled. Beyond them both sides are sorted and merged, never broadcast; run-time skew
+handling splits the facts of an item that holds a third of all rows over many tasks.
 """
 
 from __future__ import annotations
@@ -19,10 +19,6 @@ class LookupBounds:
     # Proven limits for a broadcast side: its rows and the bytes of their values.
     rows: int = 500_000
     bytes: int = 64 * 1024 * 1024
-    # A key holding more than 1/heavy_share of the facts is salted. At most
-    # heavy_share keys can, which bounds the list of them.
-    heavy_share: int = 1_000
-    salts: int = 256
 
 
 def lookup_join(
@@ -40,7 +36,7 @@ def lookup_join(
     dimension = dimension.select(key, *columns)
     if fits(dimension, bounds):
         return facts.join(F.broadcast(dimension), key, "left")
-    return _salted_join(facts, dimension, key, bounds)
+    return facts.join(dimension.hint("merge"), key, "left")
 
 
 def fits(dimension: DataFrame, bounds: LookupBounds) -> bool:
@@ -52,25 +48,3 @@ def fits(dimension: DataFrame, bounds: LookupBounds) -> bool:
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
     return seen["rows"] <= bounds.rows and seen["bytes"] <= bounds.bytes
-
-
-def heavy_keys(facts: DataFrame, key: str, share: int) -> DataFrame:
-    """Keys with more than 1/share of all rows: at most `share` of them."""
-    counts = facts.where(F.col(key).isNotNull()).groupBy(key).count()
-    total = facts.count()
-    return counts.where(F.col("count") * share > total).select(key)
-
-
-def _salted_join(facts: DataFrame, dimension: DataFrame, key: str, bounds: LookupBounds):
-    heavy = F.broadcast(
-        heavy_keys(facts, key, bounds.heavy_share).withColumn("_heavy", F.lit(True))
-    )
-    # The input partition number salts the same way when a lost task runs again, which a
-    # random number would not. NULL keys match nothing, so they may go anywhere.
-    spread = F.pmod(F.spark_partition_id(), F.lit(bounds.salts))
-    left = facts.join(heavy, key, "left").withColumn(
-        "_salt", F.when(F.col("_heavy") | F.col(key).isNull(), spread).otherwise(0)
-    )
-    copies = F.sequence(F.lit(0), F.when(F.col("_heavy"), bounds.salts - 1).otherwise(0))
-    right = dimension.join(heavy, key, "left").withColumn("_salt", F.explode(copies))
-    return left.drop("_heavy").join(right.drop("_heavy"), [key, "_salt"], "left").drop("_salt")

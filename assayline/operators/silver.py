@@ -14,12 +14,14 @@ from assayline.schemas import BRONZE_EVENT, SILVER_EVENT, SILVER_SALES
 def _records_of(bronze: DataFrame, day: date | str | None) -> DataFrame:
     """Records with their own date; one day's only if asked.
 
+    A record without a time has no date and belongs to no day, so it stays in bronze.
+
     Landed records already carry that date as their partition, so there the filter
     prunes folders instead of casting every row.
     """
     landed = BRONZE_EVENT.partition in bronze.columns
     dated = bronze if landed else bronze.withColumn(BRONZE_EVENT.partition, event_day())
-    return on_day(dated, BRONZE_EVENT.partition, day)
+    return on_day(dated.where(F.col(BRONZE_EVENT.partition).isNotNull()), BRONZE_EVENT.partition, day)
 
 
 def silver_event(bronze: DataFrame, day: date | str | None = None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from assayline.functions import ALLOWED_ACTIONS
 from assayline.plans.registry import DAY
 from assayline.schemas import PIPELINE_TABLES
 
@@ -55,15 +56,16 @@ SELECT event_id, moment AS event_timestamp, CAST(date_part('hour', moment) AS IN
        item_id, action, page_type, device, platform, referrer, campaign_id, search_keyword,
        TRUE AS is_valid_action, CAST(moment AS DATE) AS event_date
 FROM (SELECT *, CAST(event_timestamp AS TIMESTAMP) AS moment FROM bronze)
-WHERE action = 'view' OR action = 'click' OR action = 'add_to_cart' OR action = 'wishlist'
-   OR action = 'search' OR action = 'purchase'"""
+WHERE action IN ({allowed}) AND moment IS NOT NULL""".format(
+    allowed=", ".join(f"'{action}'" for action in ALLOWED_ACTIONS)
+)
 
 SILVER_SALES = """
 SELECT b.event_id AS order_id, b.user_id, CAST(b.event_timestamp AS TIMESTAMP) AS order_time,
        b.region, b.item_id, p.category, p.price AS unit_price, b.quantity, b.discount_amount,
        p.price * b.quantity - b.discount_amount AS total_amount, b.payment_method,
        CAST(CAST(b.event_timestamp AS TIMESTAMP) AS DATE) AS dt
-FROM (SELECT * FROM bronze WHERE action = 'purchase') AS b LEFT JOIN products AS p USING (item_id)"""
+FROM (SELECT * FROM bronze WHERE action = 'purchase' AND event_timestamp IS NOT NULL) AS b LEFT JOIN products AS p USING (item_id)"""
 
 LINE_SALES = """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
@@ -83,6 +85,21 @@ JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey"""
 
+# Faulty records: some without an id, some without a time, some with a clock in 2099.
+FAULTY_LANDED = f"""
+WITH faulty AS (
+    SELECT CASE WHEN CAST(event_id AS BIGINT) % 7 <> 0 THEN event_id END AS event_id,
+           CASE WHEN CAST(event_id AS BIGINT) % 11 = 0 THEN NULL
+                WHEN CAST(event_id AS BIGINT) % 13 = 0 THEN '2099-12-31 23:59:59'
+                ELSE event_timestamp END AS event_timestamp,
+           * EXCLUDE (event_id, event_timestamp)
+    FROM ({BRONZE}) AS records
+), dated AS (
+    SELECT *, CAST(CAST(event_timestamp AS TIMESTAMP) AS DATE) AS event_date FROM faulty
+)
+SELECT * FROM dated WHERE event_id IS NOT NULL
+UNION ALL SELECT DISTINCT * FROM dated WHERE event_id IS NULL"""
+
 _ITEM_SESSIONS = """
 SELECT item_id, event_date,
        count(DISTINCT session_id) FILTER (WHERE action = 'view') AS view_count,
@@ -159,7 +176,7 @@ FROM (
 }
 ITEM_SQL = {
     "gold_item": _item("e.item_id = s.item_id AND e.user_id = s.user_id"),
-    "gold_item_by_order": _item("e.event_id = s.order_id"),
+    "gold_item_by_order": _item("e.event_id = s.order_id AND e.event_date = s.dt"),
 }
 SALES_SQL = {
     "gold_sales_daily": _kpis(
@@ -208,7 +225,7 @@ def oracle_sql() -> dict[str, str]:
         "record_scan": BRONZE,
         "product_scan": PRODUCTS,
         "bronze_ingest": landed,
-        "bronze_ingest_watermark": landed,
+        "bronze_ingest_faulty": FAULTY_LANDED,
         "sales_from_lineitem": LINE_SALES,
     }
     silver = {
@@ -220,6 +237,8 @@ def oracle_sql() -> dict[str, str]:
         found[name] = _over_events(body)
         found[f"{name}_1d"] = _over_events(f"{body} WHERE {date_of[name]} = DATE '{DAY}'")
     found["silver_sales_shuffled"] = found["silver_sales"]
+    found["silver_event_run_date"] = found["silver_event_1d"]
+    found["table_silver_sales_apart"] = found["silver_sales"]
     for name, body in {**EVENT_SQL, **ITEM_SQL, **SALES_SQL}.items():
         found[name] = _over_events(body)
         found[f"{name}_1d"] = _over_events(body, DAY)

@@ -40,40 +40,59 @@ def gold_frames(
 
 
 def run_day(
-    warehouse: Warehouse, bronze: DataFrame, products: DataFrame, day: date | str, jobs: int = 4
+    warehouse: Warehouse,
+    bronze: DataFrame,
+    products: DataFrame,
+    day: date | str,
+    jobs: int = 4,
+    *,
+    sales_bronze: DataFrame | None = None,
 ) -> None:
     """Replace one day in all thirteen tables. Running it again changes nothing.
 
     gold_item matches the day's purchases to sales of every loaded day, so its numbers for
     a past day move when later sales have been loaded meanwhile.
     """
-    _run(warehouse, bronze, products, day, jobs)
+    _run(warehouse, bronze, products, day, jobs, sales_bronze)
 
 
-def backfill(warehouse: Warehouse, bronze: DataFrame, products: DataFrame, jobs: int = 4) -> None:
+def backfill(
+    warehouse: Warehouse,
+    bronze: DataFrame,
+    products: DataFrame,
+    jobs: int = 4,
+    *,
+    sales_bronze: DataFrame | None = None,
+) -> None:
     """Replace the whole of all thirteen tables from all records."""
-    _run(warehouse, bronze, products, None, jobs)
+    _run(warehouse, bronze, products, None, jobs, sales_bronze)
 
 
-def _run(warehouse, bronze, products, day, jobs):
+def _run(warehouse, bronze, products, day, jobs, sales_bronze):
+    """Sales come from records of their own, `sales_bronze`, or else from the event records."""
+    orders = bronze if sales_bronze is None else sales_bronze
     warehouse.create_all()
 
-    def store(spec: TableSpec, rows: DataFrame) -> None:
+    def store(spec: TableSpec, rows: DataFrame, by_day: bool = False) -> None:
         if day is None:
-            warehouse.replace_all(spec, rows)
+            warehouse.replace_all(spec, rows, by_day)
         else:
             warehouse.replace_day(spec, rows, day)
 
     _together(
         jobs,
-        partial(store, s.SILVER_EVENT, op.silver_event(bronze, day)),
-        partial(store, s.SILVER_SALES, op.silver_sales(bronze, products, day)),
+        partial(store, s.SILVER_EVENT, op.silver_event(bronze, day), _is_landed(bronze)),
+        partial(store, s.SILVER_SALES, op.silver_sales(orders, products, day), _is_landed(orders)),
     )
-    events, sales = warehouse.read(s.SILVER_EVENT), warehouse.read(s.SILVER_SALES)
+    events, sales = warehouse.read(s.SILVER_EVENT, day), warehouse.read(s.SILVER_SALES)
     frames = gold_frames(events, sales, day)
     _together(jobs, *[partial(store, spec, rows) for spec, rows in frames.items()])
 
 
+def _is_landed(bronze: DataFrame) -> bool:
+    return s.BRONZE_EVENT.partition in bronze.columns
+
+
 def _together(jobs: int, *tasks) -> None:
     """Submit independent writes side by side, so one's last tasks do not idle the cluster."""
     with ThreadPoolExecutor(max_workers=jobs) as pool:

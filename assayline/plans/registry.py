@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assayline import operators as op
+from assayline.functions import target_day
 from assayline.operators.lookup import LookupBounds
 from assayline.plans.pipeline import backfill, run_day
-from assayline.schemas import BRONZE_EVENT, PIPELINE_TABLES, TableSpec
+from assayline.schemas import BRONZE_EVENT, PIPELINE_TABLES, SILVER_SALES, TableSpec
 from assayline.session import scratch_path
 from assayline.sinks import Warehouse
 from assayline.sources import (
@@ -20,12 +21,13 @@ from assayline.sources import (
     testdata,
     write_records,
 )
-from assayline.streaming import land_stream
+from assayline.streaming import land_batch, land_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The day the daily runs load; the supplied events cover 2024-01-01 to 2024-01-30.
 DAY = "2024-01-15"
+RUN_DATE = "2024-01-16"
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,17 +111,52 @@ def product_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_products(spark, path)
 
 
-def _ingest(dedup: str) -> Query:
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record delivered, then the whole delivery sent again; landed once."""
-
-    def run(spark, sf_dir):
-        root = scratch_path(spark, f"ingest-{dedup}")
-        for _ in range(2):
-            write_records(_bronze(spark, sf_dir), f"{root}/raw")
-        land_stream(spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", dedup=dedup)
-        return BRONZE_EVENT.conform(read_bronze(spark, f"{root}/bronze"))
-
-    return run
+    return _landed(_bronze(spark, sf_dir), "ingest")
+
+
+def bronze_ingest_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with records that lack an id or a time or have a clock in 2099, out of
+    order in several files and micro-batches."""
+    number = F.col("event_id").cast("bigint")
+    faulty = _bronze(spark, sf_dir).withColumns(
+        {
+            "event_id": F.when(number % 7 != 0, F.col("event_id")),
+            "event_timestamp": F.when(number % 11 == 0, None)
+            .when(number % 13 == 0, "2099-12-31 23:59:59")
+            .otherwise(F.col("event_timestamp")),
+        }
+    )
+    return _landed(faulty.repartition(3, F.hash("session_id")), "ingest-faulty", max_bytes=1)
+
+
+def _landed(records: DataFrame, label: str, **options) -> DataFrame:
+    spark = records.sparkSession
+    root = scratch_path(spark, label)
+    for _ in range(2):
+        write_records(records, f"{root}/raw")
+    land_stream(spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", **options)
+    return BRONZE_EVENT.conform(read_bronze(spark, f"{root}/bronze"))
+
+
+def silver_event_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the scheduled run of the day after DAY loads."""
+    return silver_event(spark, sf_dir, target_day(RUN_DATE))
+
+
+def table_silver_sales_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales backfilled from a landed folder of their own, and one day run again."""
+    root = scratch_path(spark, "apart")
+    records = _bronze(spark, sf_dir)
+    land_batch(records.where("action <> 'purchase'"), f"{root}/events")
+    land_batch(records.where("action = 'purchase'"), f"{root}/sales")
+    events, sales = read_bronze(spark, f"{root}/events"), read_bronze(spark, f"{root}/sales")
+    products = _products(spark, sf_dir)
+    warehouse = Warehouse(spark, f"{root}/warehouse", prefix=f"run_{uuid.uuid4().hex}")
+    backfill(warehouse, events, products, sales_bronze=sales)
+    run_day(warehouse, events, products, DAY, sales_bronze=sales)
+    return warehouse.read(SILVER_SALES)
 
 
 # --- tables -------------------------------------------------------------------------
@@ -150,8 +187,10 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "record_scan": record_scan,
         "product_scan": product_scan,
-        "bronze_ingest": _ingest("table"),
-        "bronze_ingest_watermark": _ingest("watermark"),
+        "bronze_ingest": bronze_ingest,
+        "bronze_ingest_faulty": bronze_ingest_faulty,
+        "silver_event_run_date": silver_event_run_date,
+        "table_silver_sales_apart": table_silver_sales_apart,
         "silver_event": silver_event,
         "silver_sales": silver_sales,
         "silver_sales_shuffled": silver_sales_shuffled,

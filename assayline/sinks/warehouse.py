@@ -17,6 +17,7 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self._unlisted: set[str] = set()
 
     def name(self, spec: TableSpec) -> str:
         return f"{self.prefix}_{spec.layer}.{spec.name}"
@@ -25,7 +26,8 @@ class Warehouse:
         return f"{self.root}/{spec.layer}/{spec.folder}"
 
     def create(self, spec: TableSpec) -> None:
-        """Create the table if absent; partitions already in its folder are registered."""
+        """Create the table if absent. Days already in its folder are registered when the
+        whole table is first read; a daily run needs no listing of the other days."""
         if self.spark.catalog.tableExists(self.name(spec)):
             return
         columns = ", ".join(f"{name} {kind}" for name, kind in spec.fields)
@@ -38,46 +40,69 @@ class Warehouse:
             f"USING PARQUET OPTIONS (compression 'snappy') "
             f"PARTITIONED BY ({spec.partition}) LOCATION '{self.location(spec)}'"
         )
-        # Recovery needs the folder to exist; appending nothing creates it.
-        nothing = self.spark.createDataFrame([], spec.schema)
-        nothing.write.mode("append").partitionBy(spec.partition).parquet(self.location(spec))
-        self.spark.catalog.recoverPartitions(self.name(spec))
+        self._unlisted.add(self.name(spec))
 
     def create_all(self) -> None:
         for spec in PIPELINE_TABLES:
             self.create(spec)
 
-    def read(self, spec: TableSpec) -> DataFrame:
+    def read(self, spec: TableSpec, day: date | str | None = None) -> DataFrame:
+        """The table; with a day, registered for at least that day."""
+        if self.name(spec) in self._unlisted:
+            if day is None:
+                self._recover(spec)
+            else:
+                self._add_day(spec, day)
         return self.spark.table(self.name(spec))
 
+    def _recover(self, spec: TableSpec) -> None:
+        # Recovery needs the folder to exist; appending nothing creates it.
+        nothing = self.spark.createDataFrame([], spec.schema)
+        nothing.write.mode("append").partitionBy(spec.partition).parquet(self.location(spec))
+        self.spark.catalog.recoverPartitions(self.name(spec))
+        self._unlisted.discard(self.name(spec))
+
+    def _add_day(self, spec: TableSpec, day: date | str) -> None:
+        self.spark.sql(
+            f"ALTER TABLE {self.name(spec)} ADD IF NOT EXISTS "
+            f"PARTITION ({spec.partition} = DATE'{as_day(day).isoformat()}')"
+        )
+
     def replace_day(self, spec: TableSpec, rows: DataFrame, day: date | str) -> None:
         """Make `rows`, all of one day, the whole content of that day's partition.
 
         A static partition overwrite: no rows empties the day, which a dynamic overwrite
         would leave as it was.
         """
-        kept = self._sized(spec, rows).drop(spec.partition)
+        kept = self._sized(spec, rows, one_day=True).drop(spec.partition)
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(spec)} "
             f"PARTITION ({spec.partition} = DATE'{as_day(day).isoformat()}') SELECT * FROM {{rows}}",
             rows=kept,
         )
 
-    def replace_all(self, spec: TableSpec, rows: DataFrame) -> None:
-        """Make `rows` the whole content of the table."""
+    def replace_all(self, spec: TableSpec, rows: DataFrame, by_day: bool = False) -> None:
+        """Make `rows` the whole content of the table.
+
+        `by_day` tells that the rows are read from files of one day each, so that they can be
+        written where they are, without a shuffle.
+        """
+        if self.name(spec) in self._unlisted:
+            self._recover(spec)  # days that `rows` lacks must be known to be emptied
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name(spec)} "
             f"PARTITION ({spec.partition}) SELECT * FROM {{rows}}",
-            rows=self._sized(spec, rows),
+            rows=spec.conform(rows) if by_day else self._sized(spec, rows),
         )
 
-    def _sized(self, spec: TableSpec, rows: DataFrame) -> DataFrame:
-        """Rebalance on the date: few, evenly sized files per day.
+    def _sized(self, spec: TableSpec, rows: DataFrame, one_day: bool = False) -> DataFrame:
+        """Few, evenly sized files per day.
 
-        Adaptive execution merges small days into one task and splits a day holding most
-        of the rows over many. Without it a day would be one task, so rows stay as they are.
+        Many days are rebalanced on the date: small ones merge, one with most of the rows is
+        split. One day needs no key. Silver rows of a day stay where they were read, as
+        landed records lie by day already.
         """
         rows = spec.conform(rows)
-        if self.spark.conf.get("spark.sql.adaptive.enabled") != "true":
-            return rows
+        if one_day:
+            return rows if spec.layer == "silver" else rows.hint("rebalance")
         return rows.hint("rebalance", spec.partition)

@@ -5,10 +5,13 @@ The readers take `spark.read` or `spark.readStream`, so batch and stream parse a
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.utils import AnalysisException
 
+from assayline.functions import as_day
 from assayline.schemas import BRONZE, BRONZE_EVENT
 
 _CORRUPT = "_corrupt_record"
@@ -52,7 +55,16 @@ def write_records(records: DataFrame, path: str) -> None:
     )
 
 
-def read_bronze(spark: SparkSession, *paths: str) -> DataFrame:
-    """The landed table, from one or more folders; its event_date prunes daily runs."""
-    tables = [spark.read.schema(BRONZE_EVENT.schema).parquet(path) for path in paths]
-    return reduce(DataFrame.unionByName, tables)
+def read_bronze(spark: SparkSession, *paths: str, day: date | str | None = None) -> DataFrame:
+    """The landed table, from one or more folders. For one day only its folders are listed."""
+    reader = spark.read.schema(BRONZE_EVENT.schema)
+    tables = []
+    for path in paths:
+        folder = path if day is None else f"{path}/event_date={as_day(day).isoformat()}"
+        try:
+            tables.append(reader.option("basePath", path).parquet(folder))
+        except AnalysisException as missing:
+            # Nothing landed on that day; a folder without any day at all is a mistake.
+            if day is None or missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return reduce(DataFrame.unionByName, tables or [spark.createDataFrame([], BRONZE_EVENT.schema)])

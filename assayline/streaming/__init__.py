@@ -1,3 +1,3 @@
-from assayline.streaming.landing import LandingReport, land_batch, land_stream
+from assayline.streaming.landing import land_batch, land_stream
 
-__all__ = ["LandingReport", "land_batch", "land_stream"]
+__all__ = ["land_batch", "land_stream"]

@@ -1,13 +1,12 @@
 """Land JSON records as the typed bronze table, dropping records delivered again.
 
 Delivery is at-least-once: after a partial failure a whole batch is sent again, so copies
-are identical records and fall on the same event_date.
+are identical records and fall on the same event_date. A record without a time belongs to
+the day without a date, a record without an id is identified by all its fields.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -15,38 +14,31 @@ from assayline.functions import event_day
 from assayline.schemas import BRONZE, BRONZE_EVENT
 from assayline.sources import read_records, read_rejects
 
-MAX_DAYS = 366
-
-
-@dataclass(frozen=True)
-class LandingReport:
-    """How many records came too late for the watermark and were not landed.
-
-    Land their files again with `land_batch`, into a folder of its own: in the stream's
-    folder readers see only what the stream wrote. `read_bronze` takes both.
-    """
-
-    late_rows: int
-
 
 def land_batch(records: DataFrame, bronze_path: str) -> None:
-    """Append the records whose event_id is not yet landed on their day.
+    """Append the records that are not yet landed on their day.
 
-    Copies inside the batch collapse map-side before the exchange. Copies across batches
-    are found by an anti-join on the ids of the days this batch touches, so any lateness
+    Copies inside the batch are dropped, copies across batches found by an anti-join with
+    the landed records of the days this batch touches. So any lateness and any wrong clock
     is exact, nothing is kept as state, and a batch that runs twice lands once.
     """
-    _write(unlanded(records, bronze_path), bronze_path)
+    # Read twice by the plan, parsed once.
+    records = records.persist()
+    try:
+        _write(unlanded(records, bronze_path), bronze_path)
+    finally:
+        records.unpersist()
 
 
 def unlanded(records: DataFrame, bronze_path: str) -> DataFrame:
     """One of each record that bronze does not hold yet; both sides hash on the same key."""
-    identity = ["_key", "event_date"]
     dated = records.withColumn("event_date", event_day())
-    fresh = dated.withColumn("_key", _identity()).dropDuplicates(identity)
-    known = _landed_ids(records.sparkSession, bronze_path, dated)
+    fresh = dated.withColumn("_key", _identity()).dropDuplicates(["_key", "event_date"])
+    known = _landed(records.sparkSession, bronze_path, dated.select("event_date").distinct())
     if known is not None:
-        fresh = fresh.join(known.withColumnRenamed("event_id", "_key"), identity, "left_anti")
+        same = (fresh["_key"] == known["_known"]) & fresh["event_date"].eqNullSafe(known["_day"])
+        # What is landed grows without bound, so it is never broadcast.
+        fresh = fresh.join(known.hint("merge"), same, "left_anti")
     return fresh.drop("_key")
 
 
@@ -62,33 +54,40 @@ def _write(records: DataFrame, bronze_path: str) -> None:
 
 def _identity() -> Column:
     """What makes a record the same one. Without an id, only an equal record is."""
-    return F.coalesce("event_id", F.to_json(F.struct(*BRONZE.names)))
+    return F.coalesce("event_id", _content())
+
+
+def _content() -> Column:
+    return F.to_json(F.struct(*BRONZE.names))
 
 
-def _landed_ids(spark: SparkSession, bronze_path: str, dated: DataFrame) -> DataFrame | None:
-    """Ids landed on the days a batch touches; None if there are none of those days yet.
+def _landed(spark: SparkSession, bronze_path: str, days: DataFrame) -> DataFrame | None:
+    """Identities of what is landed on some days; None if nothing is landed at all.
 
-    A batch touches few days, so only their folders are listed and read. Should broken
-    clocks spread one over more than MAX_DAYS, the range between its first and last day is
-    read instead: more work, same result.
+    However many days there are, the semi-join prunes the other folders at run time. The
+    days can be broadcast: from year 1 to 9999 there are fewer than four million. Only
+    records without an id are read in full.
     """
-    found = dated.select("event_date").where("event_date IS NOT NULL").distinct()
-    days = [r["event_date"].isoformat() for r in found.limit(MAX_DAYS + 1).collect()]
-    if not days:
-        return None
-    few = len(days) <= MAX_DAYS
-    folders = f"{bronze_path}/event_date={{{','.join(sorted(days))}}}" if few else bronze_path
-    reader = spark.read.schema(BRONZE_EVENT.schema).option("basePath", bronze_path)
+    # Always true; run-time pruning is planned only for a filtered side.
+    days = F.broadcast(days.where("event_date >= date_from_unix_date(-100000000)"))
     try:
-        landed = reader.parquet(folders)
+        landed = spark.read.schema(BRONZE_EVENT.schema).parquet(bronze_path)
     except AnalysisException as missing:
         if missing.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    if not few:
-        span = found.agg(F.min("event_date").alias("a"), F.max("event_date").alias("b")).first()
-        landed = landed.where(F.col("event_date").between(F.lit(span["a"]), F.lit(span["b"])))
-    return landed.select("event_id", "event_date")
+
+    def identities(rows: DataFrame) -> DataFrame:
+        with_id = rows.where("event_id IS NOT NULL").select(
+            F.col("event_id").alias("_known"), F.col("event_date").alias("_day")
+        )
+        without = rows.where("event_id IS NULL").select(
+            _content().alias("_known"), F.col("event_date").alias("_day")
+        )
+        return with_id.union(without)
+
+    dated = identities(landed.join(days, "event_date", "left_semi"))
+    return dated.union(identities(landed.where("event_date IS NULL")))
 
 
 def land_stream(
@@ -97,56 +96,29 @@ def land_stream(
     bronze_path: str,
     checkpoint: str,
     *,
-    dedup: str = "table",
-    lateness: str = "48 hours",
     max_bytes: int | None = None,
     rejects_path: str | None = None,
-) -> LandingReport:
+) -> None:
     """Land every file that arrived since the last call, then stop.
 
-    dedup="table" runs `land_batch` on each micro-batch. dedup="watermark" keeps the ids of
-    the last `lateness` as state and never reads bronze; the report counts records later
-    than that. With `rejects_path` malformed lines go there as text, without it they fail
-    the run. `max_bytes` bounds a micro-batch.
+    Each micro-batch goes through `land_batch`. With `rejects_path` malformed lines go there
+    as text, without it they fail the run. `max_bytes` bounds a micro-batch.
     """
-    if dedup not in ("table", "watermark"):
-        raise ValueError(f"unknown dedup mode: {dedup}")
     options = {"maxBytesPerTrigger": max_bytes} if max_bytes else {}
 
     def reader():
         return spark.readStream.options(**options)
 
     records = read_records(reader(), source_path, keep_going=rejects_path is not None)
-    if dedup == "table":
-        sink = records.writeStream.foreachBatch(lambda rows, _: land_batch(rows, bronze_path))
-    else:
-        unique = (
-            records.withColumn("_key", _identity())
-            .withColumn("_at", F.to_timestamp("event_timestamp"))
-            .withWatermark("_at", lateness)
-            .dropDuplicatesWithinWatermark(["_key"])
-            .drop("_key", "_at")
-        )
-        sink = (
-            BRONZE_EVENT.conform(unique.withColumn(BRONZE_EVENT.partition, event_day()))
-            .writeStream.format("parquet")
-            .option("path", bronze_path)
-            .partitionBy(BRONZE_EVENT.partition)
-        )
-    late = _run(sink, f"{checkpoint}/records")
+    _run(
+        records.writeStream.foreachBatch(lambda rows, _: land_batch(rows, bronze_path)),
+        f"{checkpoint}/records",
+    )
     if rejects_path:
         lines = read_rejects(reader(), source_path)
         _run(lines.writeStream.format("text").option("path", rejects_path), f"{checkpoint}/rejects")
-    return LandingReport(late_rows=late)
 
 
-def _run(sink, checkpoint: str) -> int:
-    query = (
-        sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+def _run(sink, checkpoint: str) -> None:
+    query = sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )

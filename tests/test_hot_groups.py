@@ -91,7 +91,7 @@ def test_against_sql(tables, name):
     assert rows_of(getattr(op, name)(*inputs)) == duck_rows(con, query)
 
 
-@pytest.mark.parametrize("name", ["gold_item"])
+@pytest.mark.parametrize("name", ["gold_item", "gold_item_by_order"])
 def test_day_reads_sales_of_all_days(tables, name):
     con, events, sales = tables
     day = date(2024, 1, 2)

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from assayline.functions import event_day
+from assayline.schemas import BRONZE, BRONZE_FIELDS
 from assayline.sources import read_bronze, read_products, read_records, read_rejects, write_records
 from assayline.streaming import land_batch, land_stream, landing
 from tests.helpers import EDGE_RECORDS, bronze_of, plan_of, record, rows_of
@@ -41,22 +41,20 @@ def test_record_round_trip(spark, tmp_path):
     assert json.loads(text)["user_id"] == "USER-002" and '"item_id":null' in text
 
 
-@pytest.mark.parametrize("dedup", ["table", "watermark"])
-def test_resent_records_land_once(spark, paths, dedup):
+def test_resent_records_land_once(spark, paths):
     send(paths["raw"], EDGE_RECORDS[:5], "1.json")
-    stream(spark, paths, dedup=dedup)
+    stream(spark, paths)
     send(paths["raw"], EDGE_RECORDS, "2.json")
-    report = stream(spark, paths, dedup=dedup)
-    assert ids(spark, paths["bronze"]) == UNIQUE and report.late_rows == 0
-    stream(spark, paths, dedup=dedup)
+    stream(spark, paths)
+    assert ids(spark, paths["bronze"]) == UNIQUE
+    stream(spark, paths)
     assert ids(spark, paths["bronze"]) == UNIQUE
 
 
-@pytest.mark.parametrize("dedup", ["table", "watermark"])
-def test_records_without_an_id_are_not_merged(spark, paths, dedup):
+def test_records_without_an_id_are_not_merged(spark, paths):
     records = [record(None, "2026-01-10 00:00:00", f"S{i}", "view") for i in range(5)]
     send(paths["raw"], records + records[:2], "1.json")
-    stream(spark, paths, dedup=dedup)
+    stream(spark, paths)
     sessions = read_bronze(spark, paths["bronze"]).select("session_id")
     assert sorted(r.session_id for r in sessions.collect()) == ["S0", "S1", "S2", "S3", "S4"]
 
@@ -69,19 +67,6 @@ def test_any_lateness_lands_against_the_table(spark, paths):
     assert ids(spark, paths["bronze"]) == UNIQUE + ["new"]
 
 
-def test_watermark_reports_what_came_too_late(spark, paths):
-    send(paths["raw"], [record("new", "2026-03-01 00:00:00", "S", "view")], "1.json")
-    stream(spark, paths, dedup="watermark")
-    late = [record("late", "2026-01-01 00:00:00", "S", "view")]
-    send(paths["raw"], late, "2.json")
-    assert stream(spark, paths, dedup="watermark").late_rows == 1
-    assert ids(spark, paths["bronze"]) == ["new"]
-    apart = paths["bronze"] + "-late"
-    land_batch(read_records(spark.read, paths["raw"] + "/2.json"), apart)
-    both = read_bronze(spark, paths["bronze"], apart)
-    assert sorted(r.event_id for r in both.collect()) == ["late", "new"]
-
-
 def test_small_micro_batches(spark, paths):
     for i in range(4):
         send(paths["raw"], EDGE_RECORDS, f"{i}.json")
@@ -98,12 +83,45 @@ def test_batch_twice_lands_once(spark, paths):
     assert days == {"2026-01-10", "2026-01-11"}
 
 
-def test_batch_over_very_many_days(spark, paths, monkeypatch):
-    monkeypatch.setattr(landing, "MAX_DAYS", 1)
-    send(paths["raw"], EDGE_RECORDS, "1.json")
+def test_batch_over_thousands_of_days(spark, paths):
+    rows = spark.range(3000).selectExpr(
+        "concat('d', id) as event_id",
+        "date_format(date_add(date'2020-01-01', int(id)), 'yyyy-MM-dd 01:00:00') as event_timestamp",
+    )
+    for name in BRONZE.names:
+        if name not in rows.columns:
+            rows = rows.selectExpr("*", f"cast(null as {dict(BRONZE_FIELDS)[name]}) as {name}")
+    for days in (2500, 3000):
+        land_batch(rows.where(f"int(substring(event_id, 2)) < {days}"), paths["bronze"])
+    landed = read_bronze(spark, paths["bronze"])
+    assert landed.count() == landed.select("event_id").distinct().count() == 3000
+
+
+NO_TIME = record("n1", None, "S", "view")
+NO_ID = record(None, "2026-01-10 00:00:00", "S", "view")
+NEITHER = record(None, None, "S", "view")
+FUTURE = record("f1", "2099-01-01 00:00:00", "S", "view")
+
+
+@pytest.mark.parametrize("odd", [NO_TIME, NO_ID, NEITHER, FUTURE])
+def test_odd_records_land_once(spark, paths, odd):
+    send(paths["raw"], [odd], "1.json")
+    stream(spark, paths)
+    send(paths["raw"], [*EDGE_RECORDS, odd, odd], "2.json")
+    send(paths["raw"], [odd, *EDGE_RECORDS], "3.json")
+    stream(spark, paths, max_bytes=1)
     for _ in range(2):
         land_batch(read_records(spark.read, paths["raw"]), paths["bronze"])
-    assert ids(spark, paths["bronze"]) == UNIQUE
+    found = [r.event_id for r in read_bronze(spark, paths["bronze"]).collect()]
+    assert sorted(found, key=str) == sorted([*UNIQUE, odd["event_id"]], key=str)
+
+
+def test_one_id_on_two_days_is_two_records(spark, paths):
+    days = [record("x", f"2026-01-1{d} 00:00:00", "S", "view") for d in (0, 1)]
+    for k in range(2):
+        send(paths["raw"], days, f"{k}.json")
+        stream(spark, paths)
+    assert ids(spark, paths["bronze"]) == ["x", "x"]
 
 
 BROKEN = ['{"event_id": "x", "quantity": ', '{"event_id": "y", "quantity": "many"}']
@@ -118,19 +136,13 @@ def test_malformed_line_fails_unless_set_aside(spark, paths):
     assert sorted(r.line for r in read_rejects(spark.read, paths["raw"]).collect()) == sorted(BROKEN)
 
 
-@pytest.mark.parametrize("dedup", ["table", "watermark"])
-def test_stream_sets_malformed_lines_aside(spark, paths, dedup):
+def test_stream_sets_malformed_lines_aside(spark, paths):
     send(paths["raw"], EDGE_RECORDS, "1.json", BROKEN + [""])
-    stream(spark, paths, dedup=dedup, rejects_path=paths["rejects"])
+    stream(spark, paths, rejects_path=paths["rejects"])
     assert ids(spark, paths["bronze"]) == UNIQUE
     assert sorted(r.value for r in spark.read.text(paths["rejects"]).collect()) == sorted(BROKEN)
 
 
-def test_unknown_mode(spark, paths):
-    with pytest.raises(ValueError, match="dedup"):
-        stream(spark, paths, dedup="none")
-
-
 def test_products_csv(spark, tmp_path):
     path = tmp_path / "products.csv"
     path.write_text("item_id,name,category,price\nITEM-309,생수 2L 6개입,식품,3900\n", encoding="utf-8")
@@ -145,27 +157,11 @@ def test_products_csv(spark, tmp_path):
         read_products(spark, str(path)).collect()
 
 
-def test_batch_shuffles_its_records_once(spark, paths):
-    send(paths["raw"], EDGE_RECORDS, "1.json")
-    records = read_records(spark.read, paths["raw"])
-    land_batch(records, paths["bronze"])
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = plan_of(landing.unlanded(records, paths["bronze"]))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-    assert plan.count("Exchange hashpartitioning") == 2
-    known = plan[plan.rindex("FileScan parquet") :]
-    assert "ReadSchema: struct<event_id:string>" in known
-
-
-def test_batch_lists_only_the_days_it_touches(spark, paths):
+def test_batch_prunes_the_days_it_does_not_touch(spark, paths):
     send(paths["raw"], EDGE_RECORDS, "1.json")
     records = read_records(spark.read, paths["raw"])
     land_batch(records, paths["bronze"])
-    one_day = records.where("event_timestamp < '2026-01-11'")
-    known = landing._landed_ids(spark, paths["bronze"], one_day.withColumn("event_date", event_day()))
-    assert all("event_date=2026-01-10" in path for path in known.inputFiles())
-    assert sorted(r.event_id for r in known.collect()) == [i for i in UNIQUE if i != "e3"]
-    later = records.limit(1).selectExpr("*", "date'2030-01-01' as event_date")
-    assert landing._landed_ids(spark, paths["bronze"], later) is None
+    plan = plan_of(landing.unlanded(records, paths["bronze"]))
+    assert "dynamicpruning" in plan
+    assert "ReadSchema: struct<event_id:string>" in plan
+    assert rows_of(landing.unlanded(records, paths["bronze"])) == []

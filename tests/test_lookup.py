@@ -1,12 +1,12 @@
-"""The dimension join: measured broadcast, and the salted shuffle beyond its bounds."""
+"""The dimension join: measured broadcast, and the merge join beyond its bounds."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from assayline.operators.lookup import LookupBounds, fits, heavy_keys, lookup_join
+from assayline.operators.lookup import LookupBounds, fits, lookup_join
 from tests.helpers import in_order, plan_of
 
-TINY = LookupBounds(rows=3, heavy_share=10, salts=16)
+TINY = LookupBounds(rows=3)
 
 
 @pytest.fixture(scope="module")
@@ -45,17 +45,26 @@ def test_within_bounds_facts_are_not_shuffled(facts, dimension):
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
-def test_heavy_keys_are_few_and_exclude_null(facts):
-    assert {r.item for r in heavy_keys(facts, "item", 10).collect()} == {"hot", "missing"}
+def test_beyond_bounds_nothing_is_broadcast(facts, dimension):
+    plan = plan_of(lookup_join(facts, dimension, "item", ["price"], TINY))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert plan.count("Range (") == 1  # the facts are read once
 
 
 def test_hot_key_spreads_over_tasks(spark, facts, dimension):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    small = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
     try:
         joined = lookup_join(facts, dimension, "item", ["price"], TINY)
-        tasks = joined.where("item = 'hot'").select(F.spark_partition_id().alias("p"))
-        assert tasks.distinct().count() > 2
+        tasks = joined.withColumn("p", F.spark_partition_id()).where("item = 'hot'").select("p")
+        assert tasks.distinct().count() > 1
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for key, value in before.items():
+            spark.conf.set(key, value)

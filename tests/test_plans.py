@@ -64,8 +64,25 @@ def test_item_join_is_on_reduced_sides(stored, no_broadcast):
     join = plan[plan.index("SortMergeJoin") :]
     assert "HashAggregate(keys=[item_id" in join and "Inner" in join.splitlines()[0]
     assert "EqualTo(action,purchase)" in plan
-    # Only the right side reads all days.
-    assert plan.count("PartitionFilters: [isnotnull(event_date") == 2
+    # Only the sales are read for all days.
+    assert plan.count("PartitionFilters: [isnotnull(event_date") == 3
+
+
+def test_a_day_of_items_does_not_shuffle_unreduced_sales(stored):
+    plan = plan_of(op.gold_item(stored[2], stored[3], "2026-01-10"))
+    above, below = plan.split(", LeftSemi, BuildRight")
+    assert above.splitlines()[-1].lstrip(" :+-").startswith("BroadcastHashJoin [item_id")
+    # Between the semi-join and the scan of the sales there is no exchange of them.
+    sales = below[: below.index("FileScan")]
+    assert "Exchange" not in sales and "total_amount" in sales
+
+
+@pytest.mark.parametrize("day", [None, "2026-01-10"])
+def test_orders_are_reduced_before_they_meet(stored, no_broadcast, day):
+    plan = plan_of(op.gold_item_by_order(stored[2], stored[3], day))
+    join = plan[plan.index("SortMergeJoin") :]
+    assert "order_id" in join.splitlines()[0] and "event_date" in join.splitlines()[0]
+    assert "HashAggregate(keys=[event_id" in join or "HashAggregate(keys=[order_id" in join
 
 
 LAZY = [
