@@ -172,7 +172,8 @@ class TreeEncoder:
 
     def _leaf(self, leaf: str, start: int) -> Part:
         words, spans, at = self._split(leaf), [m.span() for m in _WORD.finditer(leaf)], 0
-        if len(words) != len(spans):  # str.split also parts words at white space beyond ASCII
+        if sum(map(len, words)) != sum([e - s for s, e in spans]) or len(words) != len(spans):
+            # str.split also parts words at white space beyond ASCII
             spans = []
             for word in words:
                 at = leaf.index(word, at)

@@ -269,7 +269,7 @@ def fit(
         .select("shape", "quality")
         .toPandas()
     )
-    x = np.array(rows["shape"].tolist(), np.float64).reshape(len(rows), -1)
+    x = np.array(rows["shape"].tolist(), np.float64).reshape(len(rows), len(FEATURES))
     return train(x, rows["quality"].to_numpy(np.float64), settings)
 
 
@@ -278,7 +278,7 @@ def score(model: QualityModel, shape: Column) -> Column:
 
     @F.pandas_udf("double")
     def add_up(shapes: pd.Series) -> pd.Series:
-        x = np.array(shapes.tolist(), np.float64).reshape(len(shapes), -1)
+        x = np.array(shapes.tolist(), np.float64).reshape(len(shapes), len(FEATURES))
         return pd.Series(model.scores(x))
 
     return add_up(shape)
