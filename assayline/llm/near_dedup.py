@@ -10,7 +10,7 @@ Texts that agree in a whole band are candidates. Classes are the connected compo
 the pairs whose exact similarity reaches the threshold. Comparing all pairs of a band's
 bucket would be quadratic, and most pairs are needless: first everybody is compared with
 one leader, then only members that are not yet in the leader's class are compared with the
-others, by signature and then exactly, until no unknown pair between classes is left.
+others, by signature and then exactly, unless their classes have been joined meanwhile.
 """
 
 from __future__ import annotations
@@ -37,10 +37,8 @@ class NearSettings:
     # Signatures that agree in a smaller share of places are not compared exactly. With 120
     # places that is over four standard deviations below the threshold.
     likely: float = 0.64
-    # Members of a bucket that one task compares with those outside the leader's class.
-    block: int = 2_000
-    # Partners a member gets in one round; every round has four times as many.
-    partners: int = 8
+    # Members of a bucket, and those outside the leader's class, that meet in one task.
+    block: int = 1_000
 
     @property
     def places(self) -> int:
@@ -165,7 +163,7 @@ def _buckets(signed: DataFrame, settings: NearSettings) -> DataFrame:
         F.sequence(F.lit(0), F.lit(settings.bands - 1)),
         lambda b: F.xxhash64(b, F.substring("signature", b * width + 1, F.lit(width))),
     )
-    rows = signed.select("key", F.explode(bands).alias("band"))
+    rows = signed.select("key", F.posexplode(bands).alias("place", "band"))
     shared = (
         rows.groupBy("band")
         .agg(F.count("*").alias("members"), F.min("key").alias("leader"))
@@ -210,6 +208,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "links",
     )
+    seen = _digest(links)
     while True:
         # Large star: larger neighbours of a key move to the smallest around it.
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -222,19 +221,25 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         least = down.groupBy("a").agg(F.min("b").alias("low"))
         small = (
             down.join(least, "a")
-            .select(F.explode(F.array_distinct(F.array("a", "b"))).alias("a"), F.col("low").alias("b"))
+            .select(F.explode(F.array("a", "b")).alias("a"), F.col("low").alias("b"))
             .where("a <> b")
             .distinct()
         )
-        after = written(small, "links")
-        moved = after.exceptAll(links).limit(1).count() or links.exceptAll(after).limit(1).count()
-        links = after
-        if not moved:
+        links = written(small, "links")
+        before, seen = seen, _digest(links)
+        if seen == before:
             return links.select(F.col("a").alias("key"), F.col("b").alias("class")).union(
                 links.select(F.col("b").alias("key"), F.col("b").alias("class")).distinct()
             )
 
 
+def _digest(links: DataFrame) -> tuple:
+    """Number and digest of a set of links: the same for the same set."""
+    each = F.xxhash64("a", "b")
+    row = links.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))"), F.sum(each.cast("decimal(38)")))
+    return tuple(row.first())
+
+
 def _likely_leaders(buckets: DataFrame, signed: DataFrame, settings: NearSettings) -> DataFrame:
     """Pairs of a member and its bucket's leader whose signatures are close."""
     pairs = buckets.where("key <> leader").select(
@@ -265,12 +270,18 @@ def _share(x: pd.Series, y: pd.Series) -> np.ndarray:
 
 
 def _between_classes(
-    buckets: DataFrame, signed: DataFrame, classes: DataFrame, partners: int, settings: NearSettings
+    buckets: DataFrame,
+    signed: DataFrame,
+    texts: DataFrame,
+    classes: DataFrame,
+    settings: NearSettings,
 ) -> DataFrame:
-    """Likely pairs of different classes that share a bucket, as (a, b, more).
+    """Verified links (a, b, similarity) that join different classes.
 
-    Members outside the leader's class meet all members, dealt in blocks. `more` tells that
-    a member had further partners than `partners` in a block.
+    In every bucket that has several classes, members outside the leader's class meet all
+    members, dealt in blocks. Likely pairs are verified there and then, closest first, unless
+    links found before have joined their classes; so texts travel once for each block, not
+    once for each pair, and only links come out.
     """
     named = (
         buckets.join(classes, "key", "left")
@@ -282,26 +293,31 @@ def _between_classes(
         "outside", F.col("class") != F.coalesce("_class", "_leader")
     )
     open_ = (
-        named.groupBy("band").agg(F.sum(F.col("outside").cast("bigint")).alias("askers")).where("askers > 0")
+        named.groupBy("band")
+        .agg(F.sum(F.col("outside").cast("bigint")).alias("askers"))
+        .where("askers > 0")
     )
-    members = named.join(open_, "band").join(signed, "key")
+    members = named.join(open_, "band").join(signed, "key").join(texts, "key")
     blocks, turns = [F.ceil(F.col(c) / settings.block).cast("int") for c in ("members", "askers")]
-    every_turn = F.explode(F.sequence(F.lit(0), turns - 1))
-    every_block = F.explode(F.sequence(F.lit(0), blocks - 1))
     spread = F.xxhash64("key")
-    columns = ["band", "block", "turn", "key", "class", "signature"]
-    asked = members.withColumn("block", F.pmod(spread, blocks).cast("int")).withColumn("turn", every_turn)
-    asking = (
-        members.where("outside")
-        .withColumn("turn", F.pmod(spread, turns).cast("int"))
-        .withColumn("block", every_block)
+    # A row asks, is asked, or both; one copy of it goes to each cell where it does.
+    asked = F.transform(
+        F.sequence(F.lit(0), turns - 1),
+        lambda t: F.struct(
+            F.pmod(spread, blocks).cast("int").alias("block"), t.alias("turn"), F.lit(False).alias("asks")
+        ),
     )
-    both = asked.select(*columns, F.lit(False).alias("asks")).unionByName(
-        asking.select(*columns, F.lit(True).alias("asks"))
+    asking = F.transform(
+        F.sequence(F.lit(0), blocks - 1),
+        lambda b: F.struct(
+            b.alias("block"), F.pmod(spread, turns).cast("int").alias("turn"), F.lit(True).alias("asks")
+        ),
     )
     cells = (
-        both.select(
-            F.xxhash64("band", "block", "turn").alias("cell"), "asks", "key", "class", "signature"
+        members.withColumn("c", F.explode(F.when(F.col("outside"), F.concat(asked, asking)).otherwise(asked)))
+        .select(
+            F.xxhash64("band", "c.block", "c.turn").alias("cell"),
+            "place", "c.asks", "key", "class", "signature", "text",
         )
         .repartition("cell")
         .sortWithinPartitions("cell")
@@ -317,37 +333,59 @@ def _between_classes(
             # The last cell may go on in the next batch.
             ready = int(np.searchsorted(cell, cell[-1], side="left"))
             held = rows.iloc[ready:].reset_index(drop=True)
-            yield _meet(rows.iloc[:ready], partners, settings)
+            yield _meet(rows.iloc[:ready], settings)
         if held is not None:
-            yield _meet(held, partners, settings)
+            yield _meet(held, settings)
 
-    return cells.mapInPandas(run, "a binary, b binary, more boolean")
+    return cells.mapInPandas(run, PAIRS)
 
 
-def _meet(rows: pd.DataFrame, partners: int, settings: NearSettings) -> pd.DataFrame:
-    """Every asking row of a cell with the likely ones of its other rows; rows by cell."""
+def _meet(rows: pd.DataFrame, settings: NearSettings) -> pd.DataFrame:
+    """Links between the asking rows of each cell and its other rows; rows by cell."""
     out = []
     if len(rows):
         cell, asks = rows["cell"].to_numpy(), rows["asks"].to_numpy(bool)
         keys = [bytes(k) for k in rows["key"]]
-        classes = np.array([bytes(c) for c in rows["class"]], object)
-        signs = _matrix(rows["signature"])
+        classes = [bytes(c) for c in rows["class"]]
+        texts, signs = rows["text"].tolist(), _matrix(rows["signature"])
+        places = rows["place"].to_numpy()
         cuts = np.r_[0, np.flatnonzero(cell[1:] != cell[:-1]) + 1, len(cell)]
         for first, last in zip(cuts, cuts[1:]):
             group = np.arange(first, last)
             theirs = group[~asks[first:last]]
+            parent: dict[bytes, bytes] = {}
+            bags: dict[int, tuple] = {}
+
+            def root(c):
+                while parent.get(c, c) != c:
+                    c = parent[c]
+                return c
+
+            def bag(k):
+                if k not in bags:
+                    bags[k] = bag_of(texts[k], settings.shingle)
+                return bags[k]
+
             for k in group[asks[first:last]]:
-                alike = (signs[theirs] == signs[k]).mean(axis=1)
-                near = np.flatnonzero((alike >= settings.likely) & (classes[theirs] != classes[k]))
-                best = near[np.argsort(-alike[near], kind="stable")][:partners]
-                for other in theirs[best]:
-                    low, high = sorted((keys[k], keys[other]))
-                    out.append((low, high, len(near) > partners))
-    return pd.DataFrame(out, columns=["a", "b", "more"])
+                same = signs[theirs] == signs[k]
+                alike = same.mean(axis=1)
+                near = np.flatnonzero(alike >= settings.likely)
+                # A pair is taken in the first band that it shares.
+                shared = same[near].reshape(len(near), settings.bands, settings.rows).all(axis=2)
+                near = near[shared.argmax(axis=1) == places[k]]
+                for other in theirs[near[np.argsort(-alike[near], kind="stable")]]:
+                    ours, its = root(classes[k]), root(classes[other])
+                    if ours == its:
+                        continue
+                    found = probability_jaccard(bag(k), bag(other))
+                    if found >= settings.similarity:
+                        parent[its] = ours
+                        out.append((*sorted((keys[k], keys[other])), found))
+    return pd.DataFrame(out, columns=["a", "b", "similarity"])
 
 
 def links(docs: DataFrame, settings: NearSettings = NearSettings(), text: str = "text"):
-    """(keyed rows, verified pairs of keys, classes of keys) of a table of texts."""
+    """(keyed rows, verified links between keys, classes of keys) of a table of texts."""
     spark = docs.sparkSession
     rows = keyed(docs, text)
     texts = (
@@ -362,21 +400,13 @@ def links(docs: DataFrame, settings: NearSettings = NearSettings(), text: str =
     tested = written(
         _verified(_likely_leaders(buckets, signed, settings), distinct, settings), "near-tested"
     )
-    partners = settings.partners
-    while True:
-        good = tested.where(F.col("similarity") >= settings.similarity)
-        classes = written(components(spark, good.select("a", "b")), "near-classes")
-        found = written(
-            _between_classes(buckets, signed, classes, partners, settings), "near-between"
-        )
-        ordered = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        new = found.select("a", "b").distinct().join(ordered, ["a", "b"], "left_anti")
-        more = written(_verified(new, distinct, settings), "near-tested")
-        if more.where(F.col("similarity") >= settings.similarity).limit(1).count() == 0:
-            if not found.where("more").limit(1).count():
-                return rows, tested.union(more), classes
-            partners *= 4  # nothing new joined: look further down the lists
-        tested = tested.union(more)
+    good = tested.where(F.col("similarity") >= settings.similarity)
+    classes = written(components(spark, good.select("a", "b")), "near-classes")
+    found = written(_between_classes(buckets, signed, distinct, classes, settings), "near-found")
+    # What is known of the classes is a star each; the new links are added to the stars.
+    stars = classes.where("key <> class").select("key", "class")
+    joined = components(spark, stars.toDF("a", "b").union(found.select("a", "b")))
+    return rows, good.union(found), written(joined, "near-classes")
 
 
 def near_duplicates(
@@ -388,14 +418,13 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, class_id (smallest doc_id of the class), n_links, n_class of every row.
 
-    Texts with equal lower-case words are copies. `n_links` counts the verified similar
-    texts of a text, beside its copies; `n_class` the rows of the class. Texts of fewer
+    Texts with equal lower-case words are copies. `n_links` counts the verified links that
+    join a text to its class, which need not be all it has; `n_class` the rows of the class. Texts of fewer
     than five words are one shingle. A null, empty or blank text is like nothing: it is in
     a class of its own with its own id. A class of null ids only has a null class_id. One
     row per input row, repeated rows included; other columns are left out.
     """
-    rows, tested, classes = links(pick(docs, doc_id=doc_id, text=text), settings)
-    good = tested.where(F.col("similarity") >= settings.similarity)
+    rows, good, classes = links(pick(docs, doc_id=doc_id, text=text), settings)
     count = (
         good.select(F.explode(F.array("a", "b")).alias("_key"))
         .groupBy("_key")
