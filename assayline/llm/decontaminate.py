@@ -137,18 +137,18 @@ def _windows(docs: DataFrame, items: DataFrame, settings: LeakSettings, doc_id:
         )
         .distinct()
     )
-    if seeds.limit(settings.broadcast_shingles + 1).count() <= settings.broadcast_shingles:
-        seeds = F.broadcast(seeds)
     rows = pick(docs, doc_id=doc_id, text=text).where(F.col("text").isNotNull())
-    shingles = rows.select(
+    worded = rows.select(
         "doc_id", F.unhex(F.md5("text")).alias("key"), words_of(F.col("text")).alias("words")
-    ).select(
-        "doc_id",
-        "key",
-        "words",
-        F.posexplode(_shingle_hashes(F.col("words"), size)).alias("at", "hash"),
     )
-    met = shingles.join(seeds, "hash")
+    hashes = F.posexplode(_shingle_hashes(F.col("words"), size)).alias("at", "hash")
+    if seeds.limit(settings.broadcast_shingles + 1).count() <= settings.broadcast_shingles:
+        met = worded.select("doc_id", "key", "words", hashes).join(F.broadcast(seeds), "hash")
+    else:
+        # Both sides are shuffled, without the words; those of texts that met are fetched again.
+        slim = worded.select("key", hashes).distinct()
+        places = slim.join(seeds.hint("merge"), "hash")
+        met = worded.join(places.select("key", "at", "offset", "length").distinct(), "key")
     # Inside the text, at its ends moved inwards.
     last = F.greatest(F.size("words") - F.col("length"), F.lit(0))
     start = F.least(F.greatest(F.col("at") - F.col("offset"), F.lit(0)), last)
