@@ -42,7 +42,7 @@ _STRINGS = "key binary, low int, string_a bigint, string_b bigint, here bigint,
 class RepeatSettings:
     length: int = 400
     gram: int = 32
-    block: int = 8
+    block: int = 32
     # Starts handled at once in a very long text; the result does not depend on it.
     segment: int = 1 << 20
     # Blocks of one core that one suffix array takes; beyond it the core is dealt over
