@@ -41,7 +41,7 @@ def test_pipeline_stages(spark, sf_dir):
     assert not any("@mail" in t for t in private.values())
     assert sum(private[i] != whole[i] for i in private) < len(private) / 2
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    rows = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir).collect()
     assert {r.doc_id for r in rows} == private.keys()
     for r in rows:
         assert r.ids == library.encode(private[r.doc_id], add_special_tokens=False).ids
