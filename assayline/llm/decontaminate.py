@@ -5,7 +5,9 @@ they share a shingle of five words, so windows are laid where a text has a shing
 item, aligned with it; every other window has similarity 0. Windows and items get 64-bit
 SimHash fingerprints of their words. With r + 1 blocks of bits, fingerprints at most r bits
 apart agree in a whole block, so equality joins on the blocks find all pairs within the
-radius. The weighted (multiset) shingle similarity of those pairs is then computed exactly.
+radius. Similar pairs can be further apart, so pairs that share one of the item's rarest
+shingles, which no similar pair can do without, are taken besides. The weighted (multiset)
+shingle similarity of all those pairs is then computed exactly.
 """
 
 from __future__ import annotations
@@ -161,6 +163,27 @@ def _windows(docs: DataFrame, items: DataFrame, settings: LeakSettings, doc_id:
     ).distinct()
 
 
+def _rare(items: DataFrame, settings: LeakSettings) -> DataFrame:
+    """length, hash and item of the rarest shingles of every item, so many that a window
+    without one of them shares less than `similarity` of the item's shingles, which it needs."""
+    hashed = items.select(
+        "item",
+        F.size("words").alias("length"),
+        F.explode(_shingle_hashes(F.col("words"), settings.shingle)).alias("hash"),
+    )
+    held = hashed.groupBy("length", "hash").agg(F.count_distinct("item").alias("held"))
+    ranked = (
+        hashed.join(held, ["length", "hash"])
+        .groupBy("length", "item")
+        # the shingles of one item
+        .agg(F.array_sort(F.collect_list(F.struct("held", "hash"))).alias("shingles"))
+    )
+    # Shared over all is at most shared over the item's, also where the window is shorter.
+    needed = F.ceil(F.size("shingles") * settings.similarity - 1e-9)
+    taken = F.slice("shingles", 1, (F.size("shingles") - needed + 1).cast("int"))
+    return ranked.select("length", "item", F.explode(taken["hash"]).alias("hash")).distinct()
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -196,8 +219,16 @@ def find_leaks(
         )
         .where(_apart("print", "item_print") <= settings.radius)
         .select("length", "window", "item")
-        .distinct()
     )
+    # Similar windows whose fingerprints are further apart.
+    beyond = (
+        passages.withColumn(
+            "hash", F.explode(F.array_distinct(_shingle_hashes(F.split("window", " "), size)))
+        )
+        .join(_rare(items, settings), ["length", "hash"])
+        .select("length", "window", "item")
+    )
+
     def alike(bags: Column) -> Column:
         return similarity(bags["a"], bags["b"])
 
@@ -205,7 +236,7 @@ def find_leaks(
         _shingles(F.split("window", " "), size).alias("a"),
         _shingles(F.split("item", " "), size).alias("b"),
     )
-    exact = near.withColumn("similarity", let(bags, alike)).where(
+    exact = near.union(beyond).distinct().withColumn("similarity", let(bags, alike)).where(
         F.col("similarity") >= settings.similarity
     )
     return (

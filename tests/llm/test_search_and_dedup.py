@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from assayline.llm import cover_tree, decontaminate, near_dedup, suffix_dedup
 from tests.llm.conftest import EDGE
@@ -195,6 +196,30 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs, bound):
     assert decontaminate.find_leaks(frame, benchmark.where("false"), settings).count() == 0
 
 
+def test_leaks_cut_or_replaced_at_the_end(spark):
+    """Similarities from 0.8 to 0.82, some with fingerprints beyond the radius."""
+    r = random.Random(5)
+    items, docs = [], []
+    for k in range(900):
+        n = r.choice([20, 31, 40, 59])
+        words = [f"{k}w{j}" for j in range(n)]
+        items.append((k, " ".join(words)))
+        if k % 2:  # the last words replaced: shared / (2 * (n - 4) - shared) >= 0.8
+            left = n - (n - 4) // 9
+            docs.append((k, " ".join(words[:left] + [f"{k}x{j}" for j in range(n - left)])))
+        else:  # the text ends early: shared / (n - 4) >= 0.8
+            docs.append((k, " ".join(words[: n - (n - 4) // 5])))
+    want = {(k, k) for (k, t), (_, i) in zip(docs, items) if leaks([(k, t)], [(k, i)])}
+    assert len(want) == len(docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_leaks(frame, benchmark).select("doc_id", "item_id", "similarity").collect()
+    assert {(x.doc_id, x.item_id) for x in got} == want
+    of_text = decontaminate.fingerprint(decontaminate.words_of(F.col("text")))
+    ours, theirs = ({r[0]: r[1] for r in f.select(f.columns[0], of_text).collect()} for f in (frame, benchmark))
+    assert any(sum(a != b for a, b in zip(ours[k], theirs[k])) > 16 for k in ours)
+
+
 # --- repeated byte strings
 
 
