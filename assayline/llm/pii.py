@@ -1,14 +1,15 @@
 """Personal data: patterns, and terms that give a protected value away by co-occurrence.
 
 DataFrame functions only. Emails, addresses, cards and phone numbers are found by pattern.
-Each distinct value found is a protected entity. A word near it carries pointwise mutual
-information about it; the share of the entity's own information that the word reveals is
+Each distinct value found is a protected entity. A word in a text that holds it carries
+pointwise mutual information about it; the share of the entity's own information that the word reveals is
 
     1 - log2(n(word) / n(word, entity)) / log2(N / n(entity))
 
 over all N documents. Words that reveal more than a threshold, in at least two different
-contexts, are generalised or, beyond a higher threshold, removed where they stand near the
-entity. Texts without a pattern match are never changed.
+contexts, are generalised or, beyond a higher threshold, removed wherever they stand, also in
+texts without a pattern match. The context is what stands around the entity: texts equal
+there count as one context, and one text as two only for a word near two of its places.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ _SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 @dataclass(frozen=True)
 class PiiSettings:
-    # Code points on either side of an entity that count as near.
+    # Code points on either side of an entity that are its context.
     near: int = 80
     # Share of the entity's information from which a word is generalised, and removed.
     generalise: float = 0.8
@@ -130,81 +131,133 @@ def located(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> D
     return spans.withColumn("key", F.unhex(F.md5("text")))
 
 
-def _contexts(found: DataFrame, settings: PiiSettings) -> DataFrame:
-    """key, entity, context and the words near it, for distinct texts that have entities."""
+def _stretches(texts: DataFrame, settings: PiiSettings) -> DataFrame:
+    """key, entity, context and the stretch around every entity of the distinct texts."""
     near = settings.near
-    entity = found.where(F.size("spans") > 0).select("key", "text", "spans", F.explode("spans").alias("e"))
+    entity = texts.select("key", "text", "spans", F.explode("spans").alias("e"))
     # A word that the edge of the stretch may cut is left out: one more code point is taken
     # on either side and a word touching it does not count.
     low = F.greatest(F.col("e.start") - near - 1, F.lit(0))
     high = F.col("e.end") + near + 1
     stretch = F.substring(F.col("text"), low + 1, high - low)
-    rows = entity.select(
+    inside = F.filter("spans", lambda s: (s["start"] < high) & (s["end"] > low))
+    return entity.select(
         "key",
-        "spans",
         F.struct(F.col("e.kind"), F.lower(F.when(F.col("e.kind") >= 2, _digits(F.col("e.value"))).otherwise(F.col("e.value"))).alias("value")).alias("entity"),
+        F.xxhash64(stretch).alias("context"),
+        inside.alias("spans"),
         low.alias("low"),
         F.length("text").alias("length"),
         stretch.alias("stretch"),
     )
+
+
+def _near(stretches: DataFrame) -> DataFrame:
+    """entity, term and the number of different contexts the term stands in, near the entity."""
     words = _matches(F.col("stretch"), _TERM, 0)
-    each = rows.withColumn("context", F.xxhash64("stretch")).select(
-        "key", "spans", "entity", "low", "length", F.length("stretch").alias("width"), "context",
+    each = stretches.select(
+        "spans", "entity", "low", "length", F.length("stretch").alias("width"), "context",
         F.explode(words).alias("w"),
     )
-    start, end = F.col("low") + F.col("w.start"), F.col("low") + F.col("w.end")
+    end = F.col("low") + F.col("w.end")
     uncut = ((F.col("w.start") > 0) | (F.col("low") == 0)) & (
         (F.col("w.end") < F.col("width")) | (end == F.col("length"))
     )
     clear = ~F.exists("spans", lambda s: (s["start"] < F.col("low") + F.col("w.end")) & (s["end"] > F.col("low") + F.col("w.start")))
-    return each.where(uncut & clear & (F.length("w.value") >= settings.shortest)).select(
-        "key", "entity", "context", F.lower("w.value").alias("term"), start.alias("start"), end.alias("end"),
+    return (
+        each.where(uncut & clear)
+        .select("entity", F.lower("w.value").alias("term"), "context")
+        .distinct()
+        .groupBy("entity", "term")
+        .agg(F.count("*").alias("near"))
     )
 
 
-def _revealing(docs: DataFrame, found: DataFrame, near: DataFrame, settings: PiiSettings) -> DataFrame:
-    """entity, term and the share of the entity's information that the term reveals."""
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
+
+
+def _revealing(docs: DataFrame, found: DataFrame, texts: DataFrame, settings: PiiSettings) -> DataFrame:
+    """Every term that reveals enough of some entity, and the largest share it reveals."""
+    stretches = written(_stretches(texts, settings), "pii-stretches")
     copies = found.where(F.size("spans") > 0).groupBy("key").agg(F.count("*").alias("copies"))
-    met = (
-        near.groupBy("entity", "term", "key")
-        .agg(F.min("context").alias("low"), F.max("context").alias("high"))
-        .join(copies, "key")
-        .groupBy("entity", "term")
-        .agg(
-            F.sum("copies").alias("both"),
-            # two different contexts have a different smallest and largest hash
-            F.count_distinct("low").alias("contexts_low"),
-            F.min("low").alias("a"),
-            F.max("high").alias("b"),
-        )
-        .where(
-            F.greatest("contexts_low", F.when(F.col("a") < F.col("b"), 2).otherwise(1))
-            >= settings.support
-        )
-        .select("entity", "term", "both")
+    held = (
+        stretches.groupBy("entity", "key").agg(F.min("context").alias("context")).join(copies, "key")
     )
+    # An entity in fewer contexts supports no term.
     entities = (
-        near.select("entity", "key").distinct().join(copies, "key").groupBy("entity").agg(F.sum("copies").alias("n_entity"))
+        stretches.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
+        .where(F.col("contexts") >= settings.support)
+        .join(held.groupBy("entity").agg(F.sum("copies").alias("n_entity")), "entity")
+        .select("entity", "n_entity")
     )
-    terms = (
+    # Stored, so that the join can split the rows of a term that most texts hold.
+    counts = written(
         pick(docs, text="text")
-        .select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0)))).alias("term"))
+        .select(F.explode(_terms(F.col("text"))).alias("term"))
         .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+        .agg(F.count("*").alias("n_term")),
+        "pii-counts",
     )
     total = found.agg(F.count("*").alias("n"))
-    reveals = 1 - F.log2(F.col("n_term") / F.col("both")) / F.log2(F.col("n") / F.col("n_entity"))
-    return (
-        met.join(entities, "entity")
-        .join(terms, "term")
+    clear = sanitised(F.col("text"), F.col("spans"), " ")
+    terms = (
+        texts.select("key", F.explode(_terms(clear)).alias("term"))
+        .where(F.length("term") >= settings.shortest)
+        .join(counts, "term")
+    )
+    # No term met with the entity in all its texts reveals enough if it is in more texts.
+    most = F.col("n_entity") * F.pow(F.col("n") / F.col("n_entity"), F.lit(1 - settings.generalise))
+    bounded = (
+        held.join(entities, "entity")
         .crossJoin(F.broadcast(total))  # one row
         .where(F.col("n") > F.col("n_entity"))
-        .withColumn("reveals", reveals)
+        .withColumn("most", most * (1 + 1e-9))
+    )
+    met = (
+        bounded.join(terms, "key")
+        .where(F.col("n_term") <= F.col("most"))
+        .groupBy("entity", "term", "context", "n", "n_entity", "n_term")
+        .agg(F.sum("copies").alias("both"))
+        .groupBy("entity", "term", "n", "n_entity", "n_term")
+        .agg(F.sum("both").alias("both"), F.count("*").alias("contexts"))
+    )
+    reveals = 1 - F.log2(F.col("n_term") / F.col("both")) / F.log2(F.col("n") / F.col("n_entity"))
+    return (
+        met.withColumn("reveals", reveals)
         .where(F.col("reveals") >= settings.generalise)
-        .select("entity", "term", "reveals")
+        .join(_near(stretches), ["entity", "term"], "left")
+        .where(F.greatest("contexts", F.coalesce("near", F.lit(0))) >= settings.support)
+        .groupBy("term")
+        .agg(F.max("reveals").alias("reveals"))
     )
 
 
+def _places(text: Column, terms: Column) -> Column:
+    """start, end and word of every word of the text that is one of `terms`."""
+    pieces = F.zip_with(
+        F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)),
+        F.split(text, _TERM, -1),
+        lambda value, before: F.struct(value.alias("value"), F.length(before).alias("gap")),
+    )
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("spans"))
+
+    def add(state, piece):
+        start = state["at"] + piece["gap"]
+        end = start + F.length(piece["value"])
+        word = F.lower(piece["value"])
+        span = F.struct(
+            F.element_at(terms, word).alias("kind"), start.alias("start"), end.alias("end"), word.alias("value")
+        )
+        spans = F.when(
+            F.map_contains_key(terms, word), F.concat(state["spans"], F.array(span))
+        ).otherwise(state["spans"])
+        more = F.struct(end.alias("at"), spans.alias("spans"))
+        return F.when(piece["value"].isNull(), state).otherwise(more)
+
+    return F.aggregate(pieces, begin, add, lambda state: state["spans"])
+
+
 def find(
     docs: DataFrame,
     settings: PiiSettings = PiiSettings(),
@@ -216,23 +269,33 @@ def find(
     rows = pick(docs, doc_id=doc_id, text=text)
     whole = located(rows)
     found = written(whole.select("doc_id", "key", "spans"), "pii-found")
-    distinct = (
-        whole.where(F.size("spans") > 0).select("key", "text", "spans").dropDuplicates(["key"])
+    texts = written(
+        whole.where(F.size("spans") > 0).select("key", "text", "spans").dropDuplicates(["key"]),
+        "pii-texts",
     )
-    near = written(_contexts(distinct, settings), "pii-near")
-    strong = _revealing(rows, found, near, settings)
+    strong = written(_revealing(rows, found, texts, settings), "pii-terms")
     kind = F.when(F.col("reveals") >= settings.remove, KINDS.index("removed")).otherwise(
         KINDS.index("generalised")
     )
-    extra = (
-        near.join(strong, ["entity", "term"])
-        .groupBy("key", "start", "end")
-        .agg(F.min(kind).alias("kind"), F.min("term").alias("value"))
+    keyed = rows.where(F.col("text").isNotNull()).select("text", F.unhex(F.md5("text")).alias("key"))
+    hits = (
+        keyed.select("key", F.explode(_terms(F.col("text"))).alias("term"))
+        .join(strong.select("term", kind.alias("kind")), "term")
+        .distinct()
         .groupBy("key")
-        # the spans of one text
-        .agg(F.collect_list(F.struct("kind", "start", "end", "value")).alias("extra"))
+        # the revealing terms of one text
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms"))
+    )
+    extra = (
+        keyed.dropDuplicates(["key"])
+        .join(hits, "key")
+        .select("key", _places(F.col("text"), F.col("terms")).alias("extra"))
     )
-    spans = F.concat("spans", F.coalesce(F.array_sort("extra"), F.array().cast(_SPAN)))
+
+    def clear(w):
+        return ~F.exists("spans", lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
+
+    spans = F.concat("spans", F.coalesce(F.array_sort(F.filter("extra", clear)), F.array().cast(_SPAN)))
     return found.join(extra, "key", "left").select("doc_id", "key", spans.alias("spans"))
 
 
@@ -269,9 +332,10 @@ def report(docs: DataFrame, settings: PiiSettings = PiiSettings(), **columns: st
     )
 
 
-def sanitised(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in brackets; removed words leave '[]'."""
-    marks = F.array(*[F.lit(f"[{k}]" if k != "removed" else "[]") for k in KINDS])
+def sanitised(text: Column, spans: Column, mark: str | None = None) -> Column:
+    """The text with every span replaced by its kind in brackets, or by `mark`; removed words
+    leave '[]'."""
+    marks = F.array(*[F.lit(mark or (f"[{k}]" if k != "removed" else "[]")) for k in KINDS])
     # In order of place, the longest first; what an earlier span covers is skipped.
     ordered = F.array_sort(
         F.transform(

@@ -188,6 +188,20 @@ def test_revealing_words_are_taken_and_others_left(spark, no_docs):
     assert pii.report(no_docs).count() == 0 and pii.sanitise(no_docs).columns == no_docs.columns
 
 
+def test_revealing_words_are_taken_far_away_and_in_other_texts(spark):
+    gap = "then some common words follow " * 8
+    rows = [(k, f"Zanzibor leads {gap}{k} writes to z@example.com on day {'abcd'[k]}{k}") for k in range(4)]
+    rows += [(9, f"Heard of Zanzibor again {gap}")]
+    rows += [(10 + k, f"leads heard of again {gap}writes to on day") for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    # 5 texts hold the word, 4 of them the address: 1 - log2(5 / 4) / log2(405 / 4) = 0.952
+    for k in (0, 1, 2, 3, 9):
+        want = rows[k if k < 4 else 4][1].replace("Zanzibor", "[]").replace("z@example.com", "[email]")
+        assert texts[k] == want
+    assert all(texts[i] == t for i, t in rows if i >= 10)
+
+
 # --- models
 
 
