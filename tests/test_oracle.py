@@ -7,9 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from assayline.plans import oracle, registry
 from tests.helpers import duck_rows, rows_of
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -33,5 +34,10 @@ def test_query(spark, con, sf_dir, name):
     assert rows_of(result) == duck_rows(con, ORACLE[name])
 
 
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(driver.queries())
+    assert ORACLE.items() <= driver.oracle_sql().items()
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
