@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayline.llm import language, pii, quality
+from assayline.llm import conversations, language, pii, quality
 from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
 from assayline.llm.decontaminate import find_leaks
@@ -63,6 +63,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    damaged = conversations.damaged(turns)
+    return conversations.audit(conversations.repair(damaged, present="present"))
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
@@ -100,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op8_decontaminate": op8_decontaminate,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_license_scan": op10_license_scan,
+        "op11_conversation_repair": op11_conversation_repair,
     }
     return {name: _shipping(query) for name, query in found.items()}
 

@@ -53,14 +53,35 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` stored once in the cluster's shared folder and read back.
 
     Later steps then start from files every executor can reach, whichever of them is lost.
+    The shuffle files that led to them go when the write has ended; `forget` removes the
+    table itself.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove tables that `written` stored and that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_rows(rows: DataFrame, run: Callable, schema: str) -> DataFrame:
