@@ -27,7 +27,7 @@ import tempfile
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from assayline.llm.tables import pick
 
@@ -35,13 +35,11 @@ from assayline.llm.tables import pick
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
 SPACE = " \t\n\x0b\x0c\r"
 
-REPAIRED = (
-    "conv_id string, position bigint, edit string, role string, text string, gaps bigint, "
-    "blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string"
-)
 _COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"]
 # Whole numbers beside nulls pass as text, as pandas would make them floating-point.
-_DIGEST = ", ".join(f"{c} string" for c in ("conv_id", *_COUNTS, "repaired_sha256"))
+_COUNTED = ", ".join(f"{c} string" for c in _COUNTS)
+_REPAIRED = f"conv_id string, position bigint, edit string, role string, text string, {_COUNTED}"
+_DIGEST = f"conv_id string, {_COUNTED}, repaired_sha256 string"
 _ROLES = {"u": "user", "a": "assistant"}
 _LEGAL = {"su", "ua", "au"}
 _MOST = (1 << 63) - 1
@@ -206,7 +204,8 @@ class _Conversation:
         """A first row at position 0 with counts and audit, then the repaired turns."""
         cost, audit = self.edits()
         gaps = 0 if self.low is None else min(self.high - self.low + 1 - self.numbers, _MOST)
-        yield (self.id, 0, None, None, None, gaps, *self.faults.values(), self.illegal, cost, audit)
+        counts = [gaps, *self.faults.values(), self.illegal, cost]
+        yield (self.id, 0, None, None, None, *map(str, counts), audit)
         at, position = _START, 0
         self.turns.seek(0)
         for edit in audit:
@@ -230,21 +229,16 @@ class _Conversation:
 
 
 def _frames(rows, settings: RepairSettings):
-    columns = [c.split()[0] for c in REPAIRED.split(", ")]
+    columns = [c.split()[0] for c in _REPAIRED.split(", ")]
     held, size = [], 0
     for row in rows:
         held.append(row)
-        size += len(row[4] or "") + len(row[11] or "")
+        size += len(row[4] or "") + len(row[-1] or "")
         if len(held) >= settings.rows or size >= settings.characters:
-            yield _typed(pd.DataFrame(held, columns=columns))
+            yield pd.DataFrame(held, columns=columns)
             held, size = [], 0
     if held:
-        yield _typed(pd.DataFrame(held, columns=columns))
-
-
-def _typed(frame: pd.DataFrame) -> pd.DataFrame:
-    whole = ["position", *_COUNTS[:-1]]
-    return frame.astype(dict.fromkeys([c for c in whole if c in frame], "Int64"))
+        yield pd.DataFrame(held, columns=columns)
 
 
 def _repairing(settings: RepairSettings):
@@ -294,20 +288,6 @@ def _prepared(turns: DataFrame) -> DataFrame:
     )
 
 
-def _turns(
-    conversations: DataFrame, conv_id: str, turn: str, role: str, text: str, present: Column
-) -> DataFrame:
-    rows = pick(conversations, conv_id=conv_id, turn=turn, role=role, text=text)
-    space = F.lit(" ")
-    return rows.select(
-        "conv_id",
-        "turn",
-        F.coalesce("role", space).alias("role"),
-        F.coalesce("text", space).alias("text"),
-        present.alias("present"),
-    )
-
-
 def repair(
     conversations: DataFrame,
     settings: RepairSettings = RepairSettings(),
@@ -329,10 +309,16 @@ def repair(
     type; other columns are left out.
     """
     kind = conversations.schema[conv_id].dataType
-    there = conversations[present] if present else F.lit(True)
-    rows = _prepared(_turns(conversations, conv_id, turn, role, text, there))
-    made = rows.mapInPandas(_repairing(settings), REPAIRED)
-    return made.withColumn("conv_id", F.col("conv_id").cast(kind))
+    turns = conversations.select(
+        conversations[conv_id].alias("conv_id"),
+        conversations[turn].alias("turn"),
+        F.coalesce(conversations[role], F.lit(" ")).alias("role"),
+        F.coalesce(conversations[text], F.lit(" ")).alias("text"),
+        (conversations[present] if present else F.lit(True)).alias("present"),
+    )
+    made = _prepared(turns).mapInPandas(_repairing(settings), _REPAIRED)
+    whole = {c: F.col(c).cast("bigint") for c in _COUNTS[:-1]}
+    return made.withColumns(whole | {"conv_id": F.col("conv_id").cast(kind)})
 
 
 def repaired_turns(repaired: DataFrame) -> DataFrame:
