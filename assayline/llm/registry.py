@@ -11,6 +11,7 @@ from assayline.llm import conversations, language, pii, quality
 from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
 from assayline.llm.decontaminate import find_leaks
+from assayline.llm.divergence import divergence
 from assayline.llm.license_scan import scan_licenses
 from assayline.llm.near_dedup import near_duplicates
 from assayline.llm.suffix_dedup import deduplicate
@@ -69,6 +70,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.audit(conversations.repair(damaged, present="present"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(documents(spark, sf_dir))
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
@@ -86,6 +91,46 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), w AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 30
+), v AS (
+  SELECT lang, count(*) AS size, sum(n) AS total FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term
+), t AS (
+  SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source
+), p AS (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * v.size) AS p,
+         1 + (CAST(1000000000 AS HUGEINT) * (k.n + 5)) // (v.total + 5 * v.size) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang)
+  LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM o WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def _shipping(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -107,9 +152,10 @@ def queries() -> dict[str, Query]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_license_scan": op10_license_scan,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_source_divergence": op12_source_divergence,
     }
     return {name: _shipping(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_top_k": TOP_K_SQL}
+    return {"op5_top_k": TOP_K_SQL, "op12_source_divergence": DIVERGENCE_SQL}
