@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assayline.llm import conversations, language, pii, quality
+from assayline.llm import conversations, language, pii, quality, substring_dedup
 from assayline.llm.bpe_tree import encode_digests
 from assayline.llm.cover_tree import top_k
 from assayline.llm.decontaminate import find_leaks
@@ -74,6 +74,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(documents(spark, sf_dir))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_windows(documents(spark, sf_dir)))
+
+
 TOP_K_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
@@ -131,6 +135,31 @@ FROM o WHERE part = 'pair' OR rank <= 50
 """
 
 
+WINDOWS_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), x AS (
+  SELECT id, doc_id, p, array_to_string(w[p : p + 12], ' ') AS t
+  FROM (SELECT id, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)
+), m AS (
+  SELECT t, min(doc_id) AS least FROM x GROUP BY t
+), c AS (
+  SELECT DISTINCT id, p + k AS place
+  FROM (SELECT id, p, unnest(range(0, 13)) AS k FROM x JOIN m USING (t) WHERE least < doc_id)
+), u AS (
+  SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM d
+), k AS (
+  SELECT id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS kept
+  FROM u ANTI JOIN c USING (id, place) GROUP BY id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(kept, '') AS kept
+FROM d LEFT JOIN k USING (id)
+"""
+
+
 def _shipping(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -153,9 +182,10 @@ def queries() -> dict[str, Query]:
         "op10_license_scan": op10_license_scan,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_source_divergence": op12_source_divergence,
+        "op13_substring_dedup": op13_substring_dedup,
     }
     return {name: _shipping(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_top_k": TOP_K_SQL, "op12_source_divergence": DIVERGENCE_SQL}
+    return {"op5_top_k": TOP_K_SQL, "op12_source_divergence": DIVERGENCE_SQL, "op13_substring_dedup": WINDOWS_SQL}

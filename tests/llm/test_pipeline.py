@@ -51,7 +51,7 @@ def test_pipeline_stages(spark, sf_dir):
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
 def test_query_equals_its_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     cursor = con.execute(registry.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
