@@ -27,9 +27,11 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from assayline.llm.tables import map_rows, pick, written
+from assayline.llm.tables import forget, map_rows, pick, written
 
-SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+SCHEMA = (
+    "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept string"
+)
 _ANCHORS = "key binary, pos int, low int, high int, gram bigint, span_a bigint, span_b bigint"
 _BLOCKS = (
     "key binary, low int, high int, core_a bigint, core_b bigint, span_a bigint, span_b bigint, "
@@ -302,8 +304,28 @@ def _anchor_frame(keys, columns) -> pd.DataFrame:
     return pd.DataFrame({"key": keys} | dict(zip(names, merged)))
 
 
-def _settled(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose stretch occurs again, what must be looked at more closely).
+def _met_again(found: DataFrame) -> DataFrame:
+    """Anchor occurrences whose gram stands at two places of different texts or one text;
+    one row for the copies of a text."""
+    place = F.xxhash64("key", "pos")
+    shared = written(
+        found.select("gram", place.alias("place"))
+        .groupBy("gram")
+        .agg(F.min("place").alias("least"), F.max("place").alias("most"))
+        .where("least < most")
+        .select("gram"),
+        "repeat-grams",
+    )
+    # Both sides are stored, so that the rows of a gram in most texts can be split.
+    again = found.join(shared.hint("merge"), "gram").dropDuplicates(["key", "low"])
+    met = written(again, "repeat-anchors-met")
+    forget(found, shared)
+    return met
+
+
+def _settled(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows whose stretch occurs again, what must be looked at more closely, the table both
+    read).
 
     The second has one row of every different stretch of a group that has several: a string
     of one stretch may also stand in another, whether that one occurs again or not. `n` is
@@ -311,13 +333,16 @@ def _settled(rows: DataFrame, group: list[str]) -> tuple[DataFrame, DataFrame]:
     """
     spans = ["span_a", "span_b"]
     others = [c for c in rows.columns if c not in group + spans]
-    counted = rows.groupBy(*group, *spans).agg(
-        F.count("*").alias("_same"), F.min(F.struct(*others)).alias("_one")
+    counted = written(
+        rows.groupBy(*group, *spans).agg(
+            F.count("*").alias("_same"), F.min(F.struct(*others)).alias("_one")
+        ),
+        "repeat-counted",
     )
     mixed = counted.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1")
     again = counted.where("_same > 1").select(*group, *spans)
     closer = counted.join(mixed, group).select(*group, *spans, "_one.*", "n")
-    return rows.join(again, [*group, *spans]), closer
+    return rows.join(again.hint("merge"), [*group, *spans]), closer, counted
 
 
 def _blocked(rows: DataFrame, open_: DataFrame, settings: RepeatSettings) -> DataFrame:
@@ -413,11 +438,15 @@ def _bin(rows: pd.DataFrame, settings: RepeatSettings) -> pd.DataFrame:
 def repeated_starts(docs: DataFrame, settings: RepeatSettings = RepeatSettings()) -> DataFrame:
     """key, low, high: all bytes low..high start a string of `length` bytes that starts
     anywhere else too. `docs` has key (md5 of the text) and text."""
-    found = written(_anchored(docs, settings), "repeat-anchors")
-    sure, open_ = _settled(found, ["gram"])
+    found = _met_again(written(_anchored(docs, settings), "repeat-anchors"))
+    sure, open_, anchors_counted = _settled(found, ["gram"])
     cut = written(_blocked(docs, open_, settings), "repeat-blocks")
-    more, unsettled = _settled(cut, ["core_a", "core_b"])
+    sure = written(sure.select("key", "low", "high"), "repeat-sure")
+    forget(found, anchors_counted)
+    more, unsettled, blocks_counted = _settled(cut, ["core_a", "core_b"])
     strings = written(_strings(unsettled, settings), "repeat-strings")
+    more = written(more.select("key", "low", "high"), "repeat-more")
+    forget(cut, blocks_counted)
     dealt = strings.where("open")
     # A string of a core that several suffix arrays share: its counts together.
     shared = (
@@ -428,10 +457,7 @@ def repeated_starts(docs: DataFrame, settings: RepeatSettings = RepeatSettings()
     )
     late = dealt.join(shared, ["string_a", "string_b"]).select("key", "low")
     single = strings.where("NOT open").select("key", "low").union(late)
-    starts = [sure, more, single.withColumn("high", F.col("low"))]
-    return starts[0].select("key", "low", "high").union(
-        starts[1].select("key", "low", "high")
-    ).union(starts[2].select("key", "low", "high"))
+    return sure.union(more).union(single.select("key", "low", F.col("low").alias("high")))
 
 
 def remove(raw: bytes, lows, highs, whole: bool, length: int) -> tuple[bytes, int, int]:
@@ -449,21 +475,9 @@ def remove(raw: bytes, lows, highs, whole: bool, length: int) -> tuple[bytes, in
     return kept, int(np.count_nonzero(gone)), runs
 
 
-def deduplicate(
-    docs: DataFrame,
-    settings: RepeatSettings = RepeatSettings(),
-    *,
-    text: str = "text",
-    doc_id: str = "doc_id",
-) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
-
-    Judged on the input as it is: a row that stands twice is removed whole from
-    `length` bytes on. A null or empty text has no bytes, nothing removed and the digest of
-    nothing. One row per input row; other columns are left out.
-    """
-    rows = pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    keyed = rows.withColumn("key", F.unhex(F.md5("text")))
+def _marked(keyed: DataFrame, settings: RepeatSettings) -> DataFrame:
+    """The rows with `lows` and `highs`, the repeated starts of their text, and `whole` for
+    texts that stand twice and go entirely. `keyed` has key (md5 of the text) and text."""
     long = keyed.where(F.octet_length("text") >= settings.length).select("key", "text")
     copied = (
         long.groupBy("key").agg(F.count("*").alias("_copies")).where("_copies > 1").select("key")
@@ -476,31 +490,81 @@ def deduplicate(
         .groupBy("key")
         .agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs"))
     )
-    marked = keyed.join(
+    none = F.array().cast("array<int>")
+    every = written(
         spots.withColumn("whole", F.lit(False)).unionByName(
-            copied.select(
-                "key",
-                F.array().cast("array<int>").alias("lows"),
-                F.array().cast("array<int>").alias("highs"),
-                F.lit(True).alias("whole"),
-            )
+            copied.select("key", none.alias("lows"), none.alias("highs"), F.lit(True).alias("whole"))
         ),
-        "key",
-        "left",
-    ).select("doc_id", "text", "lows", "highs", F.coalesce("whole", F.lit(False)).alias("whole"))
+        "repeat-spots",
+    )
+    return keyed.join(every.hint("merge"), "key", "left").withColumn(
+        "whole", F.coalesce("whole", F.lit(False))
+    )
+
+
+def _removed(text, lows, highs, whole: bool, settings: RepeatSettings):
+    raw = _bytes(text)
+    lows = () if lows is None else lows
+    highs = () if highs is None else highs
+    return raw, *remove(raw, lows, highs, whole, settings.length)
+
+
+def _as_text(kept: bytes) -> str:
+    """Removal may cut a character; the bytes left of it become U+FFFD."""
+    return kept.decode("utf-8", "replace")
+
+
+def deduplicate(
+    docs: DataFrame,
+    settings: RepeatSettings = RepeatSettings(),
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept text of every row.
+
+    Judged on the input as it is: a row that stands twice is removed whole from
+    `length` bytes on. A null or empty text has no bytes, nothing removed and the digest of
+    nothing. One row per input row; other columns are left out. The digest is of the bytes
+    that are left, `kept` is these bytes as text, with U+FFFD for what is left of a character
+    that was cut.
+    """
+    rows = pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
+    keyed = rows.withColumn("key", F.unhex(F.md5("text")))
+    marked = _marked(keyed, settings).select("doc_id", "text", "lows", "highs", "whole")
 
     def run(batches):
         for batch in batches:
             out = []
-            for id_, text_, lows, highs, whole in batch.itertuples(index=False):
-                raw = _bytes(text_)
-                kept, n, runs = remove(
-                    raw, lows if lows is not None else (), highs if highs is not None else (),
-                    whole, settings.length,
-                )
-                out.append((len(raw), n, runs, hashlib.sha256(kept).hexdigest()))
-            frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            for text_, lows, highs, whole in zip(*[batch[c] for c in ("text", "lows", "highs", "whole")]):
+                raw, kept, n, runs = _removed(text_, lows, highs, whole, settings)
+                out.append((len(raw), n, runs, hashlib.sha256(kept).hexdigest(), _as_text(kept)))
+            frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
             frame.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield frame
 
     return map_rows(marked, run, SCHEMA)
+
+
+def remove_repeats(
+    docs: DataFrame, settings: RepeatSettings = RepeatSettings(), *, text: str = "text"
+) -> DataFrame:
+    """All rows and columns of `docs`, the text without its repeated strings.
+
+    Nulls stay null; a text nothing of which repeats comes back as it was.
+    """
+    row = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(row.alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    marked = _marked(keyed.withColumn("key", F.unhex(F.md5("text"))), settings)
+
+    @F.pandas_udf("string")
+    def without(text_: pd.Series, lows: pd.Series, highs: pd.Series, whole: pd.Series) -> pd.Series:
+        parts = zip(text_, lows, highs, whole)
+        return pd.Series([_as_text(_removed(*p, settings)[1]) for p in parts], dtype=object)
+
+    left = F.when(F.col("lows").isNull() | F.col(f"row.{text}").isNull(), F.col(f"row.{text}")).otherwise(
+        without("text", "lows", "highs", "whole")
+    )
+    return marked.withColumn("_left", left).select(
+        *[F.col("_left").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
+    )

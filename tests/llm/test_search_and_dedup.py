@@ -242,7 +242,8 @@ def removed(rows, length):
                 gone[k : k + length] = True
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         runs = int((np.diff(np.r_[0, gone.astype(int)]) == 1).sum())
-        out.append((i, len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+        whole = kept.decode("utf-8", "replace")
+        out.append((i, len(raw), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), whole))
     return sorted(out, key=str)
 
 
@@ -275,3 +276,39 @@ def test_repeat_edges(edge_docs, no_docs):
     got = suffix_dedup.deduplicate(edge_docs).collect()
     assert sorted(map(tuple, got), key=str) == removed(EDGE, 400)
     assert suffix_dedup.deduplicate(no_docs).count() == 0
+
+
+def test_planted_passages_go_and_clean_texts_stay(spark):
+    r = random.Random(9)
+
+    def prose(n):
+        return " ".join("".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(n))
+
+    passages = [prose(90) for _ in range(4)]
+    rows = []
+    for k in range(60):
+        middle = passages[k % 4] if k < 20 else prose(90)
+        rows.append((k, f"{prose(40)} {middle} {prose(40)}"))
+    rows += [(60 + k, rows[30][1]) for k in range(2)]
+    clash = "*", "text as key", "doc_id as row", "text as lows", "doc_id as whole", "text as _left"
+    docs = spark.createDataFrame([*rows, (99, None)], "doc_id long, text string").selectExpr(*clash)
+    left = suffix_dedup.remove_repeats(docs.repartition(3))
+    assert left.columns == docs.columns and left.dtypes == docs.dtypes
+    texts = dict(rows) | {99: None}
+    for row in left.collect():
+        assert (row.key, row.row, row.lows, row.whole, row._left) == (
+            texts[row.doc_id], row.doc_id, texts[row.doc_id], row.doc_id, texts[row.doc_id]
+        )
+        if row.doc_id < 20:
+            assert not any(p[5:-5] in row.text for p in passages)
+            assert len(row.text) > 300
+        elif row.doc_id in (30, 60, 61):
+            assert row.text == ""
+        else:
+            assert row.text == texts[row.doc_id]
+
+
+def test_repeats_equal_brute_force_on_the_tables(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, suffix_dedup.deduplicate(docs).collect()), key=str) == removed(rows, 400)
