@@ -1,16 +1,17 @@
-"""Command line for spark-submit or `python -m assayline`: land, day, backfill."""
+"""Command line for spark-submit or `python -m assayline`: land, day, days, refresh, backfill."""
 
 from __future__ import annotations
 
 import argparse
 import sys
 
-from assayline.functions import target_day
-from assayline.plans import backfill, run_day
+from assayline.functions import days_between, target_day
+from assayline.plans import backfill, refresh, run_day, run_days
 from assayline.session import build_session
 from assayline.sinks import Warehouse
 from assayline.sources import read_bronze, read_products
 from assayline.streaming import land_stream
+from assayline.streaming.landing import BUCKETS
 
 
 def parse(arguments: list[str] | None) -> argparse.Namespace:
@@ -22,10 +23,16 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     land.add_argument("--bronze", required=True)
     land.add_argument("--state", required=True, help="checkpoint folder")
     land.add_argument("--rejects", help="set malformed lines aside here instead of failing")
+    land.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new bronze folder")
     land.add_argument("--max-bytes", type=int, help="bound of one micro-batch")
 
-    for name, text in (("day", "replace one day"), ("backfill", "replace all days")):
-        command = commands.add_parser(name, help=f"{text} in all thirteen tables")
+    for name, text in (
+        ("day", "replace one day"),
+        ("days", "replace the days from the first to the last"),
+        ("refresh", "replace what records landed since the last refresh have changed"),
+        ("backfill", "replace all days"),
+    ):
+        command = commands.add_parser(name, help=f"{text} in all tables")
         command.add_argument("--bronze", required=True, nargs="+", help="landed folders")
         command.add_argument("--bronze-sales", nargs="+", help="landed folders of the sales, if apart")
         command.add_argument("--products", required=True, help="product master CSV")
@@ -35,6 +42,9 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
             which = command.add_mutually_exclusive_group(required=True)
             which.add_argument("--day", help="the day to load")
             which.add_argument("--run-date", help="logical run date; loads the day before")
+        if name == "days":
+            command.add_argument("--first", required=True)
+            command.add_argument("--last", required=True)
     return parser.parse_args(arguments)
 
 
@@ -49,17 +59,27 @@ def main(arguments: list[str] | None = None) -> int:
             given.state,
             max_bytes=given.max_bytes,
             rejects_path=given.rejects,
+            buckets=given.buckets,
         )
         return 0
     warehouse = Warehouse(spark, given.warehouse, given.prefix)
-    day = None if given.command == "backfill" else given.day or target_day(given.run_date)
-    bronze = read_bronze(spark, *given.bronze, day=day)
-    orders = read_bronze(spark, *given.bronze_sales, day=day) if given.bronze_sales else None
+    days = None
+    if given.command == "day":
+        days = given.day or target_day(given.run_date)
+    elif given.command == "days":
+        days = days_between(given.first, given.last)
+    bronze = read_bronze(spark, *given.bronze, day=days)
+    orders = read_bronze(spark, *given.bronze_sales, day=days) if given.bronze_sales else None
     products = read_products(spark, given.products)
     if given.command == "backfill":
         backfill(warehouse, bronze, products, sales_bronze=orders)
+    elif given.command == "day":
+        run_day(warehouse, bronze, products, days, sales_bronze=orders)
+    elif given.command == "days":
+        run_days(warehouse, bronze, products, given.first, given.last, sales_bronze=orders)
     else:
-        run_day(warehouse, bronze, products, day, sales_bronze=orders)
+        paths = [*given.bronze, *(given.bronze_sales or [])]
+        refresh(warehouse, bronze, products, paths, sales_bronze=orders)
     return 0
 
 

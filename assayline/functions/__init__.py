@@ -1,4 +1,4 @@
-from assayline.functions.days import as_day, on_day, target_day
+from assayline.functions.days import as_day, as_days, days_between, on_day, target_day
 from assayline.functions.measures import (
     ALLOWED_ACTIONS,
     average,
@@ -12,7 +12,9 @@ from assayline.functions.measures import (
 __all__ = [
     "ALLOWED_ACTIONS",
     "as_day",
+    "as_days",
     "average",
+    "days_between",
     "event_day",
     "event_time",
     "is_action",

@@ -1,10 +1,14 @@
 from assayline.operators.gold_events import (
+    changed_item_days,
+    event_pairs,
     gold_campaign,
     gold_device,
     gold_funnel,
     gold_item,
     gold_item_by_order,
+    gold_item_from_pairs,
     gold_search,
+    sales_pairs,
 )
 from assayline.operators.gold_sales import (
     gold_sales_category,
@@ -18,11 +22,14 @@ from assayline.operators.lookup import lookup_join
 from assayline.operators.silver import silver_event, silver_sales
 
 __all__ = [
+    "changed_item_days",
+    "event_pairs",
     "gold_campaign",
     "gold_device",
     "gold_funnel",
     "gold_item",
     "gold_item_by_order",
+    "gold_item_from_pairs",
     "gold_sales_category",
     "gold_sales_daily",
     "gold_sales_payment",
@@ -31,6 +38,7 @@ __all__ = [
     "gold_sales_user",
     "gold_search",
     "lookup_join",
+    "sales_pairs",
     "silver_event",
     "silver_sales",
 ]

@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, functions as F
 from assayline.functions import average, is_action, on_day, percent
 from assayline.operators.lookup import LookupBounds, fits
 from assayline.schemas import (
+    EVENT_PAIRS,
     GOLD_CAMPAIGN,
     GOLD_DEVICE,
     GOLD_FUNNEL,
     GOLD_ITEM,
     GOLD_SEARCH,
+    SALES_PAIRS,
 )
 
 
@@ -111,6 +113,46 @@ def _item_table(sessions: DataFrame, money: DataFrame) -> DataFrame:
     )
 
 
+def event_pairs(events: DataFrame, day: date | str | None = None) -> DataFrame:
+    """Purchase events per item, user and day; guests and events without an item left out."""
+    rows = on_day(events, "event_date", day).where(F.col("action") == "purchase")
+    return EVENT_PAIRS.conform(
+        rows.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
+        .groupBy("item_id", "user_id", "event_date")
+        .agg(F.count("*").alias("times"))
+    )
+
+
+def sales_pairs(sales: DataFrame, day: date | str | None = None) -> DataFrame:
+    """Amount and number of priced sales per item, user and day."""
+    rows = on_day(sales, "dt", day)
+    return SALES_PAIRS.conform(
+        rows.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
+        .groupBy("item_id", "user_id", "dt")
+        .agg(F.sum("total_amount").alias("amount"), F.count("total_amount").alias("priced"))
+    )
+
+
+def _pair_money(bought: DataFrame, history: DataFrame, measures, narrowed: bool, bounds) -> DataFrame:
+    """Revenue and number of sales per (item, day): purchases times the sales of their pair.
+
+    For some days only, the history is first narrowed to the pairs that bought on them. They
+    are counted and, within the bounds, broadcast, so the history is not shuffled.
+    """
+    if narrowed:
+        pairs = bought.select("item_id", "user_id")
+        if fits(pairs, bounds):
+            pairs = F.broadcast(pairs)
+        history = history.join(pairs, ["item_id", "user_id"], "left_semi")
+    sold = history.groupBy("item_id", "user_id").agg(*measures)
+    return bought.join(sold, ["item_id", "user_id"]).select(
+        "item_id",
+        "event_date",
+        (F.col("times") * F.col("amount")).alias("revenue"),
+        (F.col("times") * F.col("priced")).alias("sales"),
+    )
+
+
 def gold_item(
     events: DataFrame,
     sales: DataFrame,
@@ -123,35 +165,55 @@ def gold_item(
     loaded day, so a pair with several purchases counts them several times; guests match
     nothing. Joining k purchase events to m sales would make k*m rows: here both sides are
     first reduced to one row per pair (and day), and the sums are multiplied instead.
-
-    For one day the sales history is first narrowed to the pairs that bought on that day.
-    They are counted and, within the bounds, broadcast, so the history is not shuffled.
     """
     rows = on_day(events, "event_date", day).where(F.col("item_id").isNotNull())
-    bought = (
-        rows.where((F.col("action") == "purchase") & F.col("user_id").isNotNull())
-        .groupBy("item_id", "user_id", "event_date")
-        .agg(F.count("*").alias("times"))
-    )
     history = sales.where(F.col("item_id").isNotNull() & F.col("user_id").isNotNull())
-    if day is not None:
-        pairs = bought.select("item_id", "user_id")
-        if fits(pairs, bounds):
-            pairs = F.broadcast(pairs)
-        history = history.join(pairs, ["item_id", "user_id"], "left_semi")
-    sold = (
-        history.groupBy("item_id", "user_id")
-        .agg(F.sum("total_amount").alias("amount"), F.count("total_amount").alias("priced"))
-    )
-    money = bought.join(sold, ["item_id", "user_id"]).select(
-        "item_id",
-        "event_date",
-        (F.col("times") * F.col("amount")).alias("revenue"),
-        (F.col("times") * F.col("priced")).alias("sales"),
-    )
+    measures = F.sum("total_amount").alias("amount"), F.count("total_amount").alias("priced")
+    money = _pair_money(event_pairs(events, day), history, measures, day is not None, bounds)
+    return _item_table(_item_sessions(rows), money)
+
+
+def gold_item_from_pairs(
+    events: DataFrame,
+    bought: DataFrame,
+    sold: DataFrame,
+    day: date | str | None = None,
+    bounds: LookupBounds = LookupBounds(),
+) -> DataFrame:
+    """gold_item out of the stored `event_pairs` and `sales_pairs` of all days.
+
+    A run of one day reads that day of the events and of the purchases, and of all other days
+    only the reduced sales pairs.
+    """
+    rows = on_day(events, "event_date", day).where(F.col("item_id").isNotNull())
+    measures = F.sum("amount").alias("amount"), F.sum("priced").alias("priced")
+    money = _pair_money(on_day(bought, "event_date", day), sold, measures, day is not None, bounds)
     return _item_table(_item_sessions(rows), money)
 
 
+def changed_item_days(
+    bought: DataFrame, stored: DataFrame, renewed: DataFrame, bounds: LookupBounds = LookupBounds()
+) -> DataFrame:
+    """event_date of every day whose gold_item changes when `stored` sales pairs of some days
+    give way to `renewed` ones: days on which a pair bought whose sums are no longer the same.
+    """
+    def side(pairs, sign):
+        amount = F.coalesce("amount", F.lit(0)) * sign
+        return pairs.select("item_id", "user_id", amount.alias("amount"), (F.col("priced") * sign).alias("priced"))
+
+    # Totals of the pair over all the days, as a purchase counts them wherever they lie.
+    moved = (
+        side(renewed, 1).union(side(stored, -1))
+        .groupBy("item_id", "user_id")
+        .agg(F.sum("amount").alias("amount"), F.sum("priced").alias("priced"))
+        .where("amount <> 0 OR priced <> 0")
+        .select("item_id", "user_id")
+    )
+    if fits(moved, bounds):
+        moved = F.broadcast(moved)
+    return bought.join(moved, ["item_id", "user_id"], "left_semi").select("event_date").distinct()
+
+
 def gold_item_by_order(
     events: DataFrame, sales: DataFrame, day: date | str | None = None
 ) -> DataFrame:

@@ -1,3 +1,3 @@
-from assayline.plans.pipeline import backfill, run_day
+from assayline.plans.pipeline import backfill, refresh, run_day, run_days
 
-__all__ = ["backfill", "run_day"]
+__all__ = ["backfill", "refresh", "run_day", "run_days"]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from assayline.functions import ALLOWED_ACTIONS
-from assayline.plans.registry import DAY
+from assayline.plans.registry import DAY, FIRST, LAST
 from assayline.schemas import PIPELINE_TABLES
 
 
@@ -100,6 +100,22 @@ WITH faulty AS (
 SELECT * FROM dated WHERE event_id IS NOT NULL
 UNION ALL SELECT DISTINCT * FROM dated WHERE event_id IS NULL"""
 
+REJECTS = f"""
+SELECT CASE WHEN number % 9 = 0 THEN '{{"event_id": "' || event_id || '", "quantity": '
+            ELSE '{{"event_id": "' || event_id || '", "event_timestamp": "soon"}}' END AS line,
+       CASE WHEN number % 9 = 0 THEN 'malformed' ELSE 'time' END AS reason
+FROM (SELECT event_id, CAST(event_id AS BIGINT) AS number FROM ({BRONZE}) AS records)
+WHERE number % 9 = 0 OR number % 11 = 0"""
+
+_PAIRS = """item_id IS NOT NULL AND user_id IS NOT NULL GROUP BY ALL"""
+EVENT_PAIRS = f"""
+SELECT item_id, user_id, count(*) AS times, event_date
+FROM silver_event WHERE action = 'purchase' AND {_PAIRS}"""
+SALES_PAIRS = f"""
+SELECT item_id, user_id, CAST(sum(total_amount) AS BIGINT) AS amount,
+       count(total_amount) AS priced, dt
+FROM silver_sales WHERE {_PAIRS}"""
+
 _ITEM_SESSIONS = """
 SELECT item_id, event_date,
        count(DISTINCT session_id) FILTER (WHERE action = 'view') AS view_count,
@@ -226,6 +242,7 @@ def oracle_sql() -> dict[str, str]:
         "product_scan": PRODUCTS,
         "bronze_ingest": landed,
         "bronze_ingest_faulty": FAULTY_LANDED,
+        "record_rejects": REJECTS,
         "sales_from_lineitem": LINE_SALES,
     }
     silver = {
@@ -244,6 +261,14 @@ def oracle_sql() -> dict[str, str]:
         found[f"{name}_1d"] = _over_events(body, DAY)
     for name, body in SALES_SQL.items():
         found[f"{name}_lines"] = _with(body, silver_sales=LINE_SALES)
+    pairs = {"silver_event_pairs": EVENT_PAIRS, "silver_sales_pairs": SALES_PAIRS}
+    whole = found | {name: _over_events(body) for name, body in pairs.items()}
     for spec in PIPELINE_TABLES:
-        found[f"table_{spec.name}"] = found[spec.name]
+        found[f"table_{spec.name}"] = whole[spec.name]
+    for name in ("silver_sales", "gold_funnel", "gold_item", "gold_sales_daily"):
+        found[f"refreshed_{name}"] = found[name]
+    for name, column in (("silver_event", "event_date"), ("gold_sales_user", "order_date")):
+        found[f"range_{name}"] = (
+            f"SELECT * FROM ({found[name]}) WHERE {column} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"
+        )
     return found

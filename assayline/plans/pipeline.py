@@ -1,16 +1,24 @@
-"""The daily run and the backfill: silver first, then the eleven gold tables."""
+"""The daily run, runs of several days, the backfill and the refresh of changed days.
+
+Silver first, then the reduced pairs that gold_item reads, then the eleven gold tables.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from assayline import operators as op, schemas as s
+from assayline.functions import as_days, days_between
 from assayline.schemas import TableSpec
 from assayline.sinks import Warehouse
+from assayline.sinks.folders import Folders
+from assayline.streaming.changes import ChangedDays
 
 _FROM_EVENTS = {
     s.GOLD_FUNNEL: op.gold_funnel,
@@ -26,17 +34,14 @@ _FROM_SALES = {
     s.GOLD_SALES_PAYMENT: op.gold_sales_payment,
     s.GOLD_SALES_REGION: op.gold_sales_region,
 }
+Day = date | str | Iterable[date | str] | None
 
 
-def gold_frames(
-    events: DataFrame, sales: DataFrame, day: date | str | None = None
-) -> dict[TableSpec, DataFrame]:
-    """All eleven gold queries, not yet run."""
-    return (
-        {spec: query(events, day) for spec, query in _FROM_EVENTS.items()}
-        | {s.GOLD_ITEM: op.gold_item(events, sales, day)}
-        | {spec: query(sales, day) for spec, query in _FROM_SALES.items()}
-    )
+def gold_frames(events: DataFrame, sales: DataFrame, day: Day = None) -> dict[TableSpec, DataFrame]:
+    """The ten gold queries that read nothing but their own days, not yet run."""
+    return {spec: query(events, day) for spec, query in _FROM_EVENTS.items()} | {
+        spec: query(sales, day) for spec, query in _FROM_SALES.items()
+    }
 
 
 def run_day(
@@ -48,12 +53,29 @@ def run_day(
     *,
     sales_bronze: DataFrame | None = None,
 ) -> None:
-    """Replace one day in all thirteen tables. Running it again changes nothing.
+    """Replace one day in all tables. Running it again changes nothing.
 
     gold_item matches the day's purchases to sales of every loaded day, so its numbers for
-    a past day move when later sales have been loaded meanwhile.
+    a past day move when later sales have been loaded meanwhile; `refresh` follows them.
+    """
+    _run(warehouse, bronze, products, as_days(day), jobs, sales_bronze)
+
+
+def run_days(
+    warehouse: Warehouse,
+    bronze: DataFrame,
+    products: DataFrame,
+    first: date | str,
+    last: date | str,
+    jobs: int = 4,
+    *,
+    sales_bronze: DataFrame | None = None,
+) -> None:
+    """Replace all days from the first to the last, each table in one job.
+
+    Days without records become empty, days outside stay as they are.
     """
-    _run(warehouse, bronze, products, day, jobs, sales_bronze)
+    _run(warehouse, bronze, products, days_between(first, last), jobs, sales_bronze)
 
 
 def backfill(
@@ -64,29 +86,92 @@ def backfill(
     *,
     sales_bronze: DataFrame | None = None,
 ) -> None:
-    """Replace the whole of all thirteen tables from all records."""
+    """Replace the whole of all tables from all records."""
     _run(warehouse, bronze, products, None, jobs, sales_bronze)
 
 
-def _run(warehouse, bronze, products, day, jobs, sales_bronze):
+def refresh(
+    warehouse: Warehouse,
+    bronze: DataFrame,
+    products: DataFrame,
+    bronze_paths: Iterable[str],
+    jobs: int = 4,
+    *,
+    sales_bronze: DataFrame | None = None,
+) -> list[date]:
+    """Bring all tables up to what has landed since the last refresh; returns the days.
+
+    Landing notes the days of every batch. Exactly these are replaced in all tables, and of
+    gold_item those days too on which a pair of item and user bought whose sales have changed,
+    wherever these lie. Afterwards the tables are what a backfill would make of them. A refresh
+    that fails is made up for by the next: the notes count as done last of all, and the days
+    of gold_item are noted before the pairs they were derived from change.
+    """
+    notes = [ChangedDays(warehouse.spark, path) for path in bronze_paths]
+    pending = [note.pending(warehouse.root) for note in notes]
+    days = as_days({day for entries in pending for own in entries.values() for day in own})
+    if days:
+        _run(warehouse, bronze, products, days, jobs, sales_bronze, follow=True)
+    for note, entries in zip(notes, pending):
+        note.done(warehouse.root, entries)
+    return days
+
+
+def _run(warehouse, bronze, products, days: list[date] | None, jobs, sales_bronze, follow=False):
     """Sales come from records of their own, `sales_bronze`, or else from the event records."""
+    if days == []:
+        return
     orders = bronze if sales_bronze is None else sales_bronze
     warehouse.create_all()
 
-    def store(spec: TableSpec, rows: DataFrame, by_day: bool = False) -> None:
-        if day is None:
+    def store(spec: TableSpec, rows: DataFrame, by_day: bool = False, days=days) -> None:
+        if days is None:
             warehouse.replace_all(spec, rows, by_day)
         else:
-            warehouse.replace_day(spec, rows, day)
+            # One day is written where it lies; more are as well if read by day.
+            warehouse.replace_days(spec, rows, days, by_day and len(days) > 1)
 
     _together(
         jobs,
-        partial(store, s.SILVER_EVENT, op.silver_event(bronze, day), _is_landed(bronze)),
-        partial(store, s.SILVER_SALES, op.silver_sales(orders, products, day), _is_landed(orders)),
+        partial(store, s.SILVER_EVENT, op.silver_event(bronze, days), _is_landed(bronze)),
+        partial(store, s.SILVER_SALES, op.silver_sales(orders, products, days), _is_landed(orders)),
+    )
+    events, sales = warehouse.read(s.SILVER_EVENT, days), warehouse.read(s.SILVER_SALES, days)
+    bought = op.event_pairs(events, days)
+    item_days, notes = days, None
+    if follow:
+        store(s.EVENT_PAIRS, bought)
+        item_days, notes = _noted_item_days(warehouse, op.sales_pairs(sales, days), days)
+    _together(
+        jobs,
+        *([] if follow else [partial(store, s.EVENT_PAIRS, bought)]),
+        partial(store, s.SALES_PAIRS, op.sales_pairs(sales, days)),
+        *[partial(store, spec, rows) for spec, rows in gold_frames(events, sales, days).items()],
+    )
+    # The purchases of these days and, as any may count, the sales pairs of all days.
+    items = op.gold_item_from_pairs(
+        warehouse.read(s.SILVER_EVENT, item_days),
+        warehouse.read(s.EVENT_PAIRS, item_days),
+        warehouse.read(s.SALES_PAIRS),
+        item_days,
     )
-    events, sales = warehouse.read(s.SILVER_EVENT, day), warehouse.read(s.SILVER_SALES)
-    frames = gold_frames(events, sales, day)
-    _together(jobs, *[partial(store, spec, rows) for spec, rows in frames.items()])
+    store(s.GOLD_ITEM, items, days=item_days)
+    if notes:
+        Folders(warehouse.spark).remove(notes)
+
+
+def _noted_item_days(warehouse: Warehouse, renewed: DataFrame, days: list[date]):
+    """Days of gold_item that follow from renewed sales pairs, with those that a refresh that
+    failed had noted; and the folder they are noted in until they are done."""
+    stored = warehouse.read(s.SALES_PAIRS).where(F.col("dt").isin(days))
+    moved = op.changed_item_days(warehouse.read(s.EVENT_PAIRS), stored, renewed)
+    found = {row[0] for row in moved.collect()}  # days, as many as the calendar has
+    folder, files = f"{warehouse.root}/_item_days", Folders(warehouse.spark)
+    names = [name.split("_")[0] for name in files.names(folder)]
+    every = as_days(found | set(days) | set(as_days(names)))
+    for day in every:
+        files.write(f"{folder}/{day.isoformat()}_{uuid.uuid4().hex[:8]}")
+    return every, folder
 
 
 def _is_landed(bronze: DataFrame) -> bool:

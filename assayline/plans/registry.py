@@ -10,8 +10,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from assayline import operators as op
 from assayline.functions import target_day
 from assayline.operators.lookup import LookupBounds
-from assayline.plans.pipeline import backfill, run_day
-from assayline.schemas import BRONZE_EVENT, PIPELINE_TABLES, SILVER_SALES, TableSpec
+from assayline.plans.pipeline import backfill, refresh, run_day, run_days
+from assayline.schemas import (
+    BRONZE_EVENT,
+    EVENT_PAIRS,
+    GOLD_FUNNEL,
+    GOLD_ITEM,
+    GOLD_SALES_DAILY,
+    GOLD_SALES_USER,
+    PIPELINE_TABLES,
+    SALES_PAIRS,
+    SILVER_EVENT,
+    SILVER_SALES,
+    TableSpec,
+)
 from assayline.session import scratch_path
 from assayline.sinks import Warehouse
 from assayline.sources import (
@@ -28,6 +40,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The day the daily runs load; the supplied events cover 2024-01-01 to 2024-01-30.
 DAY = "2024-01-15"
 RUN_DATE = "2024-01-16"
+# Several days loaded in one run.
+FIRST, LAST = "2024-01-10", "2024-01-20"
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,6 +154,24 @@ def _landed(records: DataFrame, label: str, **options) -> DataFrame:
     return BRONZE_EVENT.conform(read_bronze(spark, f"{root}/bronze"))
 
 
+def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth record delivered cut off and every eleventh with a time that is none; what
+    landing sets aside, sent twice in one batch and read once more by a batch that runs again."""
+    root = scratch_path(spark, "rejects")
+    records = _bronze(spark, sf_dir)
+    number = F.col("event_id").cast("bigint")
+    cut = F.concat(F.lit('{"event_id": "'), "event_id", F.lit('", "quantity": '))
+    soon = F.concat(F.lit('{"event_id": "'), "event_id", F.lit('", "event_timestamp": "soon"}'))
+    bad = number % 9 == 0, number % 11 == 0
+    write_records(records.where(~bad[0] & ~bad[1]), f"{root}/raw")
+    lines = records.where(bad[0] | bad[1]).select(F.when(bad[0], cut).otherwise(soon))
+    lines.write.mode("append").text(f"{root}/raw")
+    land_stream(spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", rejects_path=f"{root}/rejects")
+    return spark.read.schema("line string, file string, reason string").json(f"{root}/rejects").select(
+        "line", "reason"
+    )
+
+
 def silver_event_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the scheduled run of the day after DAY loads."""
     return silver_event(spark, sf_dir, target_day(RUN_DATE))
@@ -183,12 +215,63 @@ def _table_query(spec: TableSpec) -> Query:
     return lambda spark, sf_dir: _warehouse(spark, sf_dir).read(spec)
 
 
+def gold_item_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day out of the stored tables: of the other days only the reduced sales are read."""
+    warehouse = _warehouse(spark, sf_dir)
+    tables = [warehouse.read(spec) for spec in (SILVER_EVENT, EVENT_PAIRS, SALES_PAIRS)]
+    return op.gold_item_from_pairs(*tables, DAY)
+
+
+_refreshed: dict[tuple[str, str], Warehouse] = {}
+
+
+def _refreshed_query(spec: TableSpec) -> Query:
+    """Two thirds of all records landed and loaded, the late third landed and followed."""
+
+    def run(spark, sf_dir):
+        loaded = (spark.sparkContext.applicationId, sf_dir)
+        if loaded not in _refreshed:
+            root = scratch_path(spark, "refresh")
+            records, products = _bronze(spark, sf_dir), _products(spark, sf_dir)
+            late = F.crc32("event_id") % 3 == 0
+            warehouse = Warehouse(spark, f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
+            for part in (records.where(~late), records.where(late), records.where(late)):
+                land_batch(part, f"{root}/bronze")
+                landed = read_bronze(spark, f"{root}/bronze")
+                refresh(warehouse, landed, products, [f"{root}/bronze"])
+            _refreshed[loaded] = warehouse
+        return _refreshed[loaded].read(spec)
+
+    return run
+
+
+_ranged: dict[tuple[str, str], Warehouse] = {}
+
+
+def _range_query(spec: TableSpec) -> Query:
+    """The days from FIRST to LAST loaded in one run, in overlapping pieces."""
+
+    def run(spark, sf_dir):
+        loaded = (spark.sparkContext.applicationId, sf_dir)
+        if loaded not in _ranged:
+            root = scratch_path(spark, "range")
+            warehouse = Warehouse(spark, root, prefix=f"run_{uuid.uuid4().hex}")
+            records, products = _bronze(spark, sf_dir), _products(spark, sf_dir)
+            for first, last in ((FIRST, DAY), (DAY, LAST)):
+                run_days(warehouse, records, products, first, last)
+            _ranged[loaded] = warehouse
+        return _ranged[loaded].read(spec)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "record_scan": record_scan,
         "product_scan": product_scan,
         "bronze_ingest": bronze_ingest,
         "bronze_ingest_faulty": bronze_ingest_faulty,
+        "record_rejects": record_rejects,
         "silver_event_run_date": silver_event_run_date,
         "table_silver_sales_apart": table_silver_sales_apart,
         "silver_event": silver_event,
@@ -208,6 +291,11 @@ def queries() -> dict[str, Query]:
     for name, query in _SALES_QUERIES.items():
         found[f"{name}_lines"] = _lines_query(query)
     found["sales_from_lineitem"] = testdata.sales_from_lineitem
+    found["gold_item_1d"] = gold_item_day
     for spec in PIPELINE_TABLES:
         found[f"table_{spec.name}"] = _table_query(spec)
+    for spec in (SILVER_SALES, GOLD_FUNNEL, GOLD_ITEM, GOLD_SALES_DAILY):
+        found[f"refreshed_{spec.name}"] = _refreshed_query(spec)
+    for spec in (SILVER_EVENT, GOLD_SALES_USER):
+        found[f"range_{spec.name}"] = _range_query(spec)
     return found

@@ -62,6 +62,8 @@ class TableSpec:
     folder: str
     fields: tuple[tuple[str, str], ...]
     partition: str
+    # Aggregated from the layer's own tables, so its rows have been shuffled.
+    rollup: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -127,6 +129,24 @@ SILVER_SALES = TableSpec(
     "dt",
 )
 
+# Reduced by day, so that gold_item reads them for all days in place of events and sales.
+EVENT_PAIRS = TableSpec(
+    "silver",
+    "silver_event_pairs",
+    "event_pairs",
+    (("item_id", "string"), ("user_id", "string"), ("times", "bigint")),
+    "event_date",
+    rollup=True,
+)
+SALES_PAIRS = TableSpec(
+    "silver",
+    "silver_sales_pairs",
+    "sales_pairs",
+    (("item_id", "string"), ("user_id", "string"), ("amount", "bigint"), ("priced", "bigint")),
+    "dt",
+    rollup=True,
+)
+
 GOLD_FUNNEL = _gold("funnel", "event_date", ("action", "string"), ("session_count", "bigint"))
 GOLD_DEVICE = _gold(
     "device", "event_date", ("device", "string"), ("action", "string"), ("cnt", "bigint")
@@ -220,4 +240,4 @@ GOLD_TABLES = (
     GOLD_SALES_PAYMENT,
     GOLD_SALES_REGION,
 )
-PIPELINE_TABLES = (SILVER_EVENT, SILVER_SALES) + GOLD_TABLES
+PIPELINE_TABLES = (SILVER_EVENT, SILVER_SALES, EVENT_PAIRS, SALES_PAIRS) + GOLD_TABLES

@@ -5,13 +5,14 @@ The readers take `spark.read` or `spark.readStream`, so batch and stream parse a
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.utils import AnalysisException
 
-from assayline.functions import as_day
+from assayline.functions import as_days
 from assayline.schemas import BRONZE, BRONZE_EVENT
 
 _CORRUPT = "_corrupt_record"
@@ -21,28 +22,37 @@ _WITH_CORRUPT = T.StructType(BRONZE.fields + [T.StructField(_CORRUPT, T.StringTy
 def read_records(reader, path: str, *, keep_going: bool = False) -> DataFrame:
     """Typed records.
 
-    A malformed line fails the job. With `keep_going` it is left out instead, and
-    `read_rejects` returns it whole.
+    A malformed line fails the job. With `keep_going` it is left out instead, as is a record
+    whose time is malformed, and `read_rejects` returns both.
     """
     if not keep_going:
         return reader.schema(BRONZE).option("mode", "FAILFAST").json(path)
-    lines = _parsed_lines(reader, path)
-    return lines.where(F.col(f"record.{_CORRUPT}").isNull()).select(
-        *[f"record.{name}" for name in BRONZE.names]
-    )
+    good = split_records(reader, path).where(F.col("reason").isNull())
+    return good.select(*[f"record.{name}" for name in BRONZE.names])
 
 
 def read_rejects(reader, path: str) -> DataFrame:
-    """The raw lines that `read_records(..., keep_going=True)` leaves out."""
-    return _parsed_lines(reader, path).where(F.col(f"record.{_CORRUPT}").isNotNull()).select("line")
+    """line, file and reason of the lines that `read_records(..., keep_going=True)` leaves out."""
+    return split_records(reader, path).where(F.col("reason").isNotNull()).select("line", "file", "reason")
+
 
+def split_records(reader, path: str) -> DataFrame:
+    """Every line with text: line, file, the record it holds, and the reason it is none.
 
-def _parsed_lines(reader, path: str) -> DataFrame:
-    lines = reader.text(path).select(F.col("value").alias("line"))
+    Reasons: `malformed`, no JSON object or a field of another type; `time`, a time that is
+    no timestamp. Both parts come from one scan.
+    """
+    lines = reader.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")
+    )
     record = F.from_json(
         "line", _WITH_CORRUPT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    return lines.where(F.trim("line") != "").select("line", record.alias("record"))
+    at = F.col("record.event_timestamp")
+    reason = F.when(F.col("record").isNull() | F.col(f"record.{_CORRUPT}").isNotNull(), "malformed").when(
+        at.isNotNull() & at.try_cast("timestamp_ntz").isNull(), "time"
+    )
+    return lines.where(F.trim("line") != "").withColumn("record", record).withColumn("reason", reason)
 
 
 def write_records(records: DataFrame, path: str) -> None:
@@ -55,16 +65,19 @@ def write_records(records: DataFrame, path: str) -> None:
     )
 
 
-def read_bronze(spark: SparkSession, *paths: str, day: date | str | None = None) -> DataFrame:
-    """The landed table, from one or more folders. For one day only its folders are listed."""
+def read_bronze(
+    spark: SparkSession, *paths: str, day: date | str | Iterable[date | str] | None = None
+) -> DataFrame:
+    """The landed table, from one or more folders. For some days only theirs are listed."""
     reader = spark.read.schema(BRONZE_EVENT.schema)
     tables = []
     for path in paths:
-        folder = path if day is None else f"{path}/event_date={as_day(day).isoformat()}"
-        try:
-            tables.append(reader.option("basePath", path).parquet(folder))
-        except AnalysisException as missing:
-            # Nothing landed on that day; a folder without any day at all is a mistake.
-            if day is None or missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        days = [None] if day is None else as_days(day)
+        for folder in [path if d is None else f"{path}/event_date={d.isoformat()}" for d in days]:
+            try:
+                tables.append(reader.option("basePath", path).parquet(folder))
+            except AnalysisException as missing:
+                # Nothing landed on that day; a folder without any day at all is a mistake.
+                if day is None or missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
     return reduce(DataFrame.unionByName, tables or [spark.createDataFrame([], BRONZE_EVENT.schema)])

@@ -3,91 +3,125 @@
 Delivery is at-least-once: after a partial failure a whole batch is sent again, so copies
 are identical records and fall on the same event_date. A record without a time belongs to
 the day without a date, a record without an id is identified by all its fields.
+
+The landed table is bucketed by what identifies a record. A micro-batch is dealt into the
+same buckets and compared with them where they lie: of what has landed, only that one column
+of the touched days is read, and it is never shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from assayline.functions import event_day
 from assayline.schemas import BRONZE, BRONZE_EVENT
-from assayline.sources import read_records, read_rejects
+from assayline.sinks.folders import Folders
+from assayline.sources import read_records, split_records
+from assayline.streaming.changes import ChangedDays
+
+KEY = "record_key"
+BUCKETS = 16
 
 
-def land_batch(records: DataFrame, bronze_path: str) -> None:
-    """Append the records that are not yet landed on their day.
+def land_batch(records: DataFrame, bronze_path: str, *, buckets: int = BUCKETS) -> None:
+    """Append the records that are not yet landed on their day, and note the days they are of.
 
     Copies inside the batch are dropped, copies across batches found by an anti-join with
     the landed records of the days this batch touches. So any lateness and any wrong clock
-    is exact, nothing is kept as state, and a batch that runs twice lands once.
+    is exact, nothing is kept as state, and a batch that runs twice lands once. `buckets` is
+    taken when the folder is first landed in.
     """
-    # Read twice by the plan, parsed once.
+    # Read three times, for its days, its new records and theirs; parsed once.
     records = records.persist()
     try:
-        _write(unlanded(records, bronze_path), bronze_path)
+        _land(records, bronze_path, buckets)
     finally:
         records.unpersist()
 
 
-def unlanded(records: DataFrame, bronze_path: str) -> DataFrame:
-    """One of each record that bronze does not hold yet; both sides hash on the same key."""
-    dated = records.withColumn("event_date", event_day())
-    fresh = dated.withColumn("_key", _identity()).dropDuplicates(["_key", "event_date"])
-    known = _landed(records.sparkSession, bronze_path, dated.select("event_date").distinct())
-    if known is not None:
-        same = (fresh["_key"] == known["_known"]) & fresh["event_date"].eqNullSafe(known["_day"])
-        # What is landed grows without bound, so it is never broadcast.
-        fresh = fresh.join(known.hint("merge"), same, "left_anti")
-    return fresh.drop("_key")
-
-
-def _write(records: DataFrame, bronze_path: str) -> None:
-    (
-        BRONZE_EVENT.conform(records)
-        .hint("rebalance", BRONZE_EVENT.partition)
-        .write.mode("append")
-        .partitionBy(BRONZE_EVENT.partition)
-        .parquet(bronze_path)
-    )
+def _land(records: DataFrame, bronze_path: str, buckets: int) -> None:
+    table = _table(records.sparkSession, bronze_path, buckets)
+    fresh = unlanded(records, table).persist()
+    try:
+        days = _days(fresh)
+        if not days:
+            return
+        ChangedDays(records.sparkSession, bronze_path).note(d for d in days if d is not None)
+        # Every task holds one bucket, so a day gets one file for each.
+        fresh.select(*BRONZE_EVENT.columns[:-1], KEY, BRONZE_EVENT.partition).write.mode(
+            "append"
+        ).insertInto(table)
+    finally:
+        fresh.unpersist()
+
+
+def unlanded(records: DataFrame, table: str) -> DataFrame:
+    """One of each record that the landed table does not hold yet, dealt into its buckets."""
+    spark = records.sparkSession
+    dated = BRONZE_EVENT.conform(records.withColumn("event_date", event_day()))
+    keyed = dated.withColumn(KEY, _identity())
+    fresh = keyed.repartition(_buckets(spark, table), KEY).dropDuplicates([KEY])
+    days = _days(dated)
+    touched = F.col("event_date").isin([d for d in days if d is not None])
+    if None in days:
+        touched = touched | F.col("event_date").isNull()
+    known = spark.table(table).where(touched).select(F.col(KEY).alias("_known"))
+    # What is landed grows without bound, so it is never broadcast.
+    return fresh.join(known.hint("merge"), fresh[KEY] == known["_known"], "left_anti")
+
+
+def _days(rows: DataFrame) -> list:
+    """The different days, at most as many as the calendar has."""
+    return [row[0] for row in rows.select("event_date").distinct().collect()]
 
 
 def _identity() -> Column:
-    """What makes a record the same one. Without an id, only an equal record is."""
-    return F.coalesce("event_id", _content())
+    """What makes a record of a day the same one. Without an id, only an equal record is; the
+    day is part of it, so that one column decides. Never null: records without an id spread
+    over the buckets by what they hold."""
+    content = F.sha2(F.to_json(F.struct(*BRONZE.names)), 256)
+    own = F.when(F.col("event_id").isNotNull(), F.concat(F.lit("i"), "event_id")).otherwise(
+        F.concat(F.lit("c"), content)
+    )
+    return F.concat_ws(" ", F.coalesce(F.col("event_date").cast("string"), F.lit("-")), own)
 
 
-def _content() -> Column:
-    return F.to_json(F.struct(*BRONZE.names))
+_tables: dict[tuple[str, str], tuple[str, int]] = {}
 
 
-def _landed(spark: SparkSession, bronze_path: str, days: DataFrame) -> DataFrame | None:
-    """Identities of what is landed on some days; None if nothing is landed at all.
+def _table(spark: SparkSession, path: str, buckets: int) -> str:
+    """The catalog's name of the landed folder; its days are registered once a session.
 
-    However many days there are, the semi-join prunes the other folders at run time. The
-    days can be broadcast: from year 1 to 9999 there are fewer than four million. Only
-    records without an id are read in full.
+    How many buckets a folder has is noted in it, as no later session may take another number.
     """
-    # Always true; run-time pruning is planned only for a filtered side.
-    days = F.broadcast(days.where("event_date >= date_from_unix_date(-100000000)"))
-    try:
-        landed = spark.read.schema(BRONZE_EVENT.schema).parquet(bronze_path)
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-    def identities(rows: DataFrame) -> DataFrame:
-        with_id = rows.where("event_id IS NOT NULL").select(
-            F.col("event_id").alias("_known"), F.col("event_date").alias("_day")
-        )
-        without = rows.where("event_id IS NULL").select(
-            _content().alias("_known"), F.col("event_date").alias("_day")
-        )
-        return with_id.union(without)
+    path = path.rstrip("/")
+    opened = (spark.sparkContext.applicationId, path)
+    if opened in _tables:
+        return _tables[opened][0]
+    folders = Folders(spark)
+    noted = [n for n in folders.names(path) if n.startswith("_buckets-")]
+    if noted:
+        buckets = int(noted[0].split("-")[1])
+    else:
+        if any("=" in n for n in folders.names(path)):
+            raise ValueError(f"{path} holds days that were not landed in buckets")
+        folders.write(f"{path}/_buckets-{buckets}")
+    name = f"landed_{hashlib.sha256(path.encode()).hexdigest()[:16]}"
+    columns = ", ".join(f"{column} {kind}" for column, kind in BRONZE_EVENT.fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, {KEY} string, "
+        f"{BRONZE_EVENT.partition} date) USING PARQUET PARTITIONED BY ({BRONZE_EVENT.partition}) "
+        f"CLUSTERED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
+    _tables[opened] = (name, buckets)
+    return name
 
-    dated = identities(landed.join(days, "event_date", "left_semi"))
-    return dated.union(identities(landed.where("event_date IS NULL")))
+
+def _buckets(spark: SparkSession, table: str) -> int:
+    return next(n for known, n in _tables.values() if known == table)
 
 
 def land_stream(
@@ -98,27 +132,37 @@ def land_stream(
     *,
     max_bytes: int | None = None,
     rejects_path: str | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
     """Land every file that arrived since the last call, then stop.
 
-    Each micro-batch goes through `land_batch`. With `rejects_path` malformed lines go there
-    as text, without it they fail the run. `max_bytes` bounds a micro-batch.
+    Each micro-batch goes through `land_batch`. Without `rejects_path` a malformed line or
+    time fails the run. With it such lines go there instead, with their file and the reason,
+    one folder for each micro-batch, so that one that runs again sets them aside once; the
+    source is read and parsed once for both. `max_bytes` bounds a micro-batch.
     """
     options = {"maxBytesPerTrigger": max_bytes} if max_bytes else {}
-
-    def reader():
-        return spark.readStream.options(**options)
-
-    records = read_records(reader(), source_path, keep_going=rejects_path is not None)
-    _run(
-        records.writeStream.foreachBatch(lambda rows, _: land_batch(rows, bronze_path)),
-        f"{checkpoint}/records",
-    )
-    if rejects_path:
-        lines = read_rejects(reader(), source_path)
-        _run(lines.writeStream.format("text").option("path", rejects_path), f"{checkpoint}/rejects")
+    reader = spark.readStream.options(**options)
+    if rejects_path is None:
+        records = read_records(reader, source_path)
+        sink = records.writeStream.foreachBatch(
+            lambda rows, _: land_batch(rows, bronze_path, buckets=buckets)
+        )
+    else:
+        lines = split_records(reader, source_path)
+        sink = lines.writeStream.foreachBatch(
+            lambda rows, number: _land_good(rows, bronze_path, f"{rejects_path}/batch={number}", buckets)
+        )
+    query = sink.option("checkpointLocation", f"{checkpoint}/records").trigger(availableNow=True)
+    query.start().awaitTermination()
 
 
-def _run(sink, checkpoint: str) -> None:
-    query = sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def _land_good(lines: DataFrame, bronze_path: str, rejects_path: str, buckets: int) -> None:
+    lines = lines.persist()
+    try:
+        bad = lines.where(F.col("reason").isNotNull()).select("line", "file", "reason")
+        bad.write.mode("overwrite").json(rejects_path)
+        good = lines.where(F.col("reason").isNull()).select("record.*")
+        _land(good.select(*BRONZE.names), bronze_path, buckets)
+    finally:
+        lines.unpersist()
