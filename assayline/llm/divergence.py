@@ -20,20 +20,23 @@ is 0. An empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from assayline.llm.tables import forget, pick, written
 from assayline.operators.lookup import LookupBounds, fits
 
-# What a term is; only A-Z are lower-cased.
-_TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
-_LOWER = {upper: upper + 32 for upper in range(ord("A"), ord("Z") + 1)}
+# Bytes of a term stay, A-Z in lower case; all others part terms. Characters
+# beyond ASCII are made of bytes from 0x80 in UTF-8.
+_UPPER, _LOWER = range(0x41, 0x5B), range(0x61, 0x7B)
+_PARTED = bytes(
+    b + 0x20 if b in _UPPER else b if b in _LOWER or b >= 0x80 else 0x20 for b in range(256)
+)
 _BILLION = 1_000_000_000
 
 _COUNTED = "lang string, source string, term string, n bigint, docs bigint"
@@ -47,41 +50,45 @@ class DivergenceSettings:
     added: int = 5
     # Ranks of the terms a group uses more than its language does.
     top: int = 50
-    # Places (sources times terms) of one cell, and entries a task counts before it hands on.
+    # Places (sources times terms) of one cell; entries a task counts before it hands on, and
+    # texts it takes at once.
     places: int = 1 << 17
-    entries: int = 400_000
+    entries: int = 250_000
+    at_once: int = 64
 
 
-def terms_of(text: str) -> list[str]:
-    return _TERM.findall(text.translate(_LOWER))
+def terms_of(text: str) -> list[bytes]:
+    return text.encode("utf-8", "replace").translate(_PARTED).split()
 
 
 def _counted(rows: DataFrame, settings: DivergenceSettings) -> DataFrame:
     """lang, source, term, occurrences and documents, added up within tasks."""
 
-    def frame(counts, docs):
-        rows_ = [
-            (*group, term, n, docs[group][term])
-            for group, own in counts.items()
-            for term, n in own.items()
+    def part(group, counts: Counter, docs: Counter):
+        terms, same = list(counts), len(counts)
+        columns = [
+            *[pa.array([name], pa.string()).take(pa.array([0] * same)) for name in group],
+            pa.array(terms, pa.binary()).cast(pa.string()),
+            pa.array(list(counts.values()), pa.int64()),
+            pa.array([docs[t] for t in terms], pa.int64()),
         ]
-        return pd.DataFrame(rows_, columns=["lang", "source", "term", "n", "docs"])
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "term", "n", "docs"])
 
     def run(batches):
-        counts, docs, entries = defaultdict(Counter), defaultdict(Counter), 0
+        counts, docs = defaultdict(Counter), defaultdict(Counter)
         for batch in batches:
-            for lang, source, text in zip(batch["lang"], batch["source"], batch["text"]):
-                found = Counter(terms_of(text))
-                counts[lang, source].update(found)
-                docs[lang, source].update(found.keys())
-                entries += len(found)
-                if entries >= settings.entries:
-                    yield frame(counts, docs)
-                    counts.clear(), docs.clear()
-                    entries = 0
-        yield frame(counts, docs)
-
-    parts = rows.mapInPandas(run, _COUNTED)
+            for k in range(0, batch.num_rows, settings.at_once):
+                for lang, source, text in zip(*[c.to_pylist() for c in batch.slice(k, settings.at_once).columns]):
+                    terms = terms_of(text)
+                    counts[lang, source].update(terms)
+                    docs[lang, source].update(set(terms))
+                if sum(map(len, counts.values())) >= settings.entries:
+                    for group in list(counts):
+                        yield part(group, counts.pop(group), docs.pop(group))
+        for group in list(counts):
+            yield part(group, counts.pop(group), docs.pop(group))
+
+    parts = rows.select("lang", "source", "text").mapInArrow(run, _COUNTED)
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
