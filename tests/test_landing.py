@@ -6,8 +6,16 @@ import os
 import pytest
 
 from assayline.schemas import BRONZE, BRONZE_FIELDS
-from assayline.sources import read_bronze, read_products, read_records, read_rejects, write_records
+from assayline.sources import (
+    read_bronze,
+    read_products,
+    read_records,
+    read_rejects,
+    split_records,
+    write_records,
+)
 from assayline.streaming import land_batch, land_stream, landing
+from assayline.streaming.changes import ChangedDays
 from tests.helpers import EDGE_RECORDS, bronze_of, plan_of, record, rows_of
 
 UNIQUE = ["e1", "e2", "e3", "e4", "e5", "e6", "e7", "e8"]
@@ -136,11 +144,47 @@ def test_malformed_line_fails_unless_set_aside(spark, paths):
     assert sorted(r.line for r in read_rejects(spark.read, paths["raw"]).collect()) == sorted(BROKEN)
 
 
-def test_stream_sets_malformed_lines_aside(spark, paths):
-    send(paths["raw"], EDGE_RECORDS, "1.json", BROKEN + [""])
+BAD_TIME = '{"event_id": "z", "event_timestamp": "2026-13-45 99:00:00"}'
+
+
+def rejects(spark, paths):
+    rows = spark.read.schema("line string, file string, reason string").json(paths["rejects"]).collect()
+    return sorted((r.line, os.path.basename(r.file), r.reason) for r in rows)
+
+
+def test_stream_sets_bad_lines_aside_with_their_reason(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json", BROKEN + ["", "  "])
+    send(paths["raw"], EDGE_RECORDS[:2], "2.json", [BAD_TIME, "[1]", BROKEN[0]])
     stream(spark, paths, rejects_path=paths["rejects"])
     assert ids(spark, paths["bronze"]) == UNIQUE
-    assert sorted(r.value for r in spark.read.text(paths["rejects"]).collect()) == sorted(BROKEN)
+    expected = [(line, "1.json", "malformed") for line in BROKEN]
+    expected += [(BAD_TIME, "2.json", "time"), ("[1]", "2.json", "malformed"), (BROKEN[0], "2.json", "malformed")]
+    assert rejects(spark, paths) == sorted(expected)
+
+
+def test_a_batch_that_runs_again_rejects_once(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json", BROKEN)
+    lines = split_records(spark.read, paths["raw"])
+    for _ in range(2):
+        landing._land_good(lines, paths["bronze"], f"{paths['rejects']}/batch=0", 4)
+    assert ids(spark, paths["bronze"]) == UNIQUE
+    assert [r[0] for r in rejects(spark, paths)] == sorted(BROKEN)
+
+
+def test_good_and_bad_lines_come_from_one_scan(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json", BROKEN)
+    lines = split_records(spark.read, paths["raw"]).persist()
+    bad, good = lines.where("reason is not null"), lines.where("reason is null")
+    for part in (bad, good):
+        assert "InMemoryTableScan" in plan_of(part)
+    assert plan_of(lines).count("FileScan") == 1
+    lines.unpersist()
+
+
+def test_without_rejects_a_bad_time_fails(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json", [BAD_TIME])
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        stream(spark, paths)
 
 
 def test_products_csv(spark, tmp_path):
@@ -157,11 +201,86 @@ def test_products_csv(spark, tmp_path):
         read_products(spark, str(path)).collect()
 
 
-def test_batch_prunes_the_days_it_does_not_touch(spark, paths):
+def test_what_has_landed_is_read_by_bucket_and_never_shuffled(spark, paths):
     send(paths["raw"], EDGE_RECORDS, "1.json")
     records = read_records(spark.read, paths["raw"])
-    land_batch(records, paths["bronze"])
-    plan = plan_of(landing.unlanded(records, paths["bronze"]))
-    assert "dynamicpruning" in plan
-    assert "ReadSchema: struct<event_id:string>" in plan
-    assert rows_of(landing.unlanded(records, paths["bronze"])) == []
+    land_batch(records, paths["bronze"], buckets=4)
+    late = bronze_of(spark, [record("late", "2026-01-10 05:00:00", "S", "view")])
+    land_batch(late, paths["bronze"])
+    table = landing._table(spark, paths["bronze"], 99)
+    rows = landing.unlanded(late, table)
+    plan = plan_of(rows)
+    # The branch below the join that scans the landed table, down to its scan.
+    landed = plan[plan.index("SortMergeJoin") :]
+    scan = landed.index("Bucketed: true")
+    branch = landed[: scan].rsplit("\n", 8)
+    assert "SelectedBucketsCount: 4 out of 4" in landed
+    assert not any("Exchange" in line for line in branch[-4:])
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
+    assert "ReadSchema: struct<record_key:string>" in plan
+    assert "2026-01-10" in plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "2026-01-11" not in plan and rows_of(rows) == []
+
+
+def test_files_of_a_day_are_no_more_than_the_buckets(spark, paths):
+    many = bronze_of(spark, [record(f"e{i}", "2026-01-10 00:00:00", "S", "view") for i in range(200)])
+    land_batch(many.repartition(16), paths["bronze"], buckets=4)
+    files = [f for f in os.listdir(f"{paths['bronze']}/event_date=2026-01-10") if f.startswith("part-")]
+    assert len(files) == 4
+    assert len(ids(spark, paths["bronze"])) == 200
+
+
+def test_records_without_an_id_spread_over_the_buckets(spark, paths):
+    rows = [record(None, "2026-01-10 00:00:00", f"S{i}", "view") for i in range(200)]
+    for _ in range(2):
+        land_batch(bronze_of(spark, rows), paths["bronze"], buckets=4)
+    files = [f for f in os.listdir(f"{paths['bronze']}/event_date=2026-01-10") if f.startswith("part-")]
+    assert len(files) == 4 and read_bronze(spark, paths["bronze"]).count() == 200
+
+
+def test_another_session_finds_the_buckets_and_days(spark, paths):
+    land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"], buckets=4)
+    name = landing._table(spark, paths["bronze"], 4)
+    spark.sql(f"DROP TABLE {name}")
+    landing._tables.clear()
+    land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"], buckets=9)
+    assert ids(spark, paths["bronze"]) == UNIQUE
+    assert landing._buckets(spark, name) == 4
+
+
+def test_a_folder_without_buckets_is_refused(spark, paths):
+    os.makedirs(f"{paths['bronze']}/event_date=2026-01-10")
+    with pytest.raises(ValueError, match="not landed in buckets"):
+        land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"])
+
+
+def test_a_batch_notes_the_days_it_adds_to(spark, paths, tmp_path):
+    notes = ChangedDays(spark, paths["bronze"])
+
+    def changed(warehouse):
+        return sorted({d.isoformat() for own in notes.pending(warehouse).values() for d in own})
+
+    land_batch(bronze_of(spark, [*EDGE_RECORDS, NO_TIME]), paths["bronze"])
+    assert changed("w1") == ["2026-01-10", "2026-01-11"]
+    warehouse = str(tmp_path / "w")
+    notes.done(warehouse, notes.pending(warehouse))
+    assert changed(warehouse) == []
+    land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"])  # nothing new
+    assert changed(warehouse) == []
+    land_batch(bronze_of(spark, [record("l", "2026-01-03 00:00:00", "S", "view")]), paths["bronze"])
+    assert changed(warehouse) == ["2026-01-03"]
+    assert changed(str(tmp_path / "other")) == ["2026-01-03", "2026-01-10", "2026-01-11"]
+
+
+def test_a_batch_that_fails_in_between_lands_when_it_runs_again(spark, paths, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    writer = type(spark.range(1).write)
+    with monkeypatch.context() as m:
+        m.setattr(writer, "insertInto", broken)
+        with pytest.raises(OSError):
+            land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"])
+    land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"])
+    assert ids(spark, paths["bronze"]) == UNIQUE
+    assert len(ChangedDays(spark, paths["bronze"]).pending("w")) == 2

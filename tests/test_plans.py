@@ -1,12 +1,15 @@
 """Physical plans: what reaches the scan, what is shuffled, what never appears."""
 
+import uuid
+
 import pytest
 
 from assayline import operators as op
-from assayline.plans import registry
-from assayline.schemas import BRONZE_EVENT, SILVER_EVENT, SILVER_SALES
+from assayline.plans import backfill, registry
+from assayline.schemas import BRONZE_EVENT, EVENT_PAIRS, SALES_PAIRS, SILVER_EVENT, SILVER_SALES
+from assayline.sinks import Warehouse
 from assayline.sources import read_bronze
-from tests.helpers import edge_tables, plan_of
+from tests.helpers import edge_tables, plan_of, rows_of
 
 
 @pytest.fixture(scope="module")
@@ -77,6 +80,28 @@ def test_a_day_of_items_does_not_shuffle_unreduced_sales(stored):
     assert "Exchange" not in sales and "total_amount" in sales
 
 
+def test_a_day_of_items_reads_no_sales_of_other_days(spark, tmp_path, stored):
+    bronze, products = edge_tables(spark)
+    warehouse = Warehouse(spark, str(tmp_path), prefix=f"t_{uuid.uuid4().hex}")
+    backfill(warehouse, bronze, products)
+    tables = [warehouse.read(spec) for spec in (SILVER_EVENT, EVENT_PAIRS, SALES_PAIRS)]
+    rows = op.gold_item_from_pairs(*tables, "2026-01-10")
+    assert rows_of(rows) == rows_of(op.gold_item(stored[2], stored[3], "2026-01-10"))
+    plan = plan_of(rows)
+    assert "silver/sales/" not in plan and "silver/sales]" not in plan
+    # All scans but that of the reduced sales pairs are of the one day.
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    whole = [line for line in scans if "PartitionFilters: []" in line]
+    assert whole and all("sales_pairs" in line for line in whole)
+    assert all("user_id" in line and "amount" in line for line in whole)
+
+
+@pytest.mark.parametrize("name", ["event_pairs", "sales_pairs"])
+def test_pairs_shuffle_reduced_rows_once(stored, name):
+    plan = plan_of(getattr(op, name)(stored[2 if name == "event_pairs" else 3], "2026-01-10"))
+    assert plan.count("Exchange") == 1 and "partial_" in plan.split("Exchange")[1]
+
+
 @pytest.mark.parametrize("day", [None, "2026-01-10"])
 def test_orders_are_reduced_before_they_meet(stored, no_broadcast, day):
     plan = plan_of(op.gold_item_by_order(stored[2], stored[3], day))
