@@ -67,7 +67,7 @@ def _counted(rows: DataFrame, settings: DivergenceSettings) -> DataFrame:
     def part(group, counts: Counter, docs: Counter):
         terms, same = list(counts), len(counts)
         columns = [
-            *[pa.array([name], pa.string()).take(pa.array([0] * same)) for name in group],
+            *[pa.repeat(pa.scalar(name, pa.string()), same) for name in group],
             pa.array(terms, pa.binary()).cast(pa.string()),
             pa.array(list(counts.values()), pa.int64()),
             pa.array([docs[t] for t in terms], pa.int64()),
