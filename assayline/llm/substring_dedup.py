@@ -28,16 +28,18 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from assayline.llm.tables import forget, map_rows, pick, written
 
-_GRAMS = "key binary, gram bigint"
-_STRETCHES = "key binary, first bigint, low int, gram bigint, part string"
+_GRAMS = "key binary, grams array<bigint>"
+_STRETCHES = "key binary, first bigint, stretches array<struct<low:int,gram:bigint,part:string>>"
 _FOUND = "part string, low int, length int, least bigint"
 _KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
 
@@ -51,7 +53,8 @@ class WindowSettings:
     hot: int = 2_000
     # Words of one index; whole cells are put together up to about that.
     shard: int = 200_000
-    # Windows hashed at once in a very long text; the result does not depend on it.
+    # Texts handled at once, and windows of them hashed at once; results don't depend on it.
+    at_once: int = 64
     segment: int = 1 << 20
 
 
@@ -81,11 +84,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def anchors(words: list[bytes], settings: WindowSettings):
-    """(hash, first start, last start) of every run of windows with one anchor."""
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    total = len(words) - settings.length + 1
-    grams, lows, highs = [], [], []
+def anchors(texts: list[list[bytes]], settings: WindowSettings):
+    """(text, hash, first start, last start) of every run of windows with one anchor.
+
+    All texts at once, one after another; windows that cross from one into the next are left
+    out, and no other window sees a word of two texts.
+    """
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    hashes = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(texts)), np.uint64, sizes.sum())
+    begins = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    total, found = len(hashes) - settings.length + 1, []
+    low_bits = np.uint64((1 << 24) - 1)
     for first in range(0, max(total, 0), settings.segment):
         count = min(settings.segment, total - first)
         own = hashes[first : first + count + settings.length - 1]
@@ -94,59 +104,63 @@ def anchors(words: list[bytes], settings: WindowSettings):
             mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + own[k : k + len(mixed)]
         mixed = _mix(mixed)
         # The smallest hash and, among equals, the last place.
-        low_bits = np.uint64((1 << 24) - 1)
-        keyed = (mixed & ~low_bits) | (low_bits - np.arange(len(mixed), dtype=np.uint64))
-        least, reach, width = keyed, 1, settings.length - settings.gram + 1
+        least = (mixed & ~low_bits) | (low_bits - np.arange(len(mixed), dtype=np.uint64))
+        reach, width = 1, settings.length - settings.gram + 1
         while reach < width:
             step = min(reach, width - reach)
             least = np.minimum(least[:-step], least[step:])
             reach += step
-        place = (low_bits - (least & low_bits)).astype(np.int64)
-        cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        grams.append(mixed[place[cuts]].view(np.int64))
-        lows.append(cuts + first)
-        highs.append(np.r_[cuts[1:], count] - 1 + first)
-    if not grams:
-        return [np.zeros(0, np.int64)] * 3
-    return [np.concatenate(c) for c in (grams, lows, highs)]
+        text = owner[first : first + count]
+        inside = np.flatnonzero(text == owner[first + settings.length - 1 : first + settings.length - 1 + count])
+        place = (low_bits - (least[inside] & low_bits)).astype(np.int64)
+        # An anchor lies within one text, so a new text always has a new place.
+        cuts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]][: len(place)])
+        lasts = np.r_[cuts[1:], len(place)] - 1 if len(cuts) else cuts
+        of = text[inside[cuts]]
+        found.append((
+            of, mixed[place[cuts]].view(np.int64),
+            inside[cuts] + first - begins[of], inside[lasts] + first - begins[of],
+        ))
+    return [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
 
 
 # --- FM-index
 
 
+# Bits below each place of a block.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
 class WaveletTree:
     """Rank of symbols in a sequence: one packed bit vector for each bit of the symbols,
     the sequence dealt by that bit, zeros first, before the next."""
 
     def __init__(self, symbols: np.ndarray, size: int):
-        self.levels, self.zeros = [], []
-        self.bits = max(1, int(size - 1).bit_length())
+        self.levels = []
+        bits = max(1, int(size - 1).bit_length())
         n = len(symbols)
-        for level in range(self.bits - 1, -1, -1):
-            bit = (symbols >> level) & 1
-            packed = np.zeros(-(-(n + 1) // 64) * 8, np.uint8)
+        for shift in range(bits - 1, -1, -1):
+            bit = (symbols >> shift) & 1
+            packed = np.zeros((n // 64 + 1) * 8, np.uint8)
             raw = np.packbits(bit.astype(np.uint8), bitorder="little")
             packed[: len(raw)] = raw
             blocks = packed.view(np.uint64)
-            before = np.r_[0, np.cumsum(np.bitwise_count(blocks), dtype=np.int32)[:-1]].astype(np.int32)
-            self.levels.append((blocks, before))
-            self.zeros.append(int(n - bit.sum()))
+            before = np.cumsum(np.r_[0, np.bitwise_count(blocks)[:-1]], dtype=np.int64)
+            self.levels.append((shift, blocks, before, n - int(bit.sum())))
             symbols = np.r_[symbols[bit == 0], symbols[bit == 1]]
-        # Where the places of each symbol begin after the last level.
-        kinds, begins = np.unique(symbols, return_index=True) if n else (np.zeros(0, int),) * 2
+        # Where the places of each symbol begin after the last level: the order is that of the
+        # symbols with their bits reversed, but equal ones lie together.
+        kinds, begins = np.unique(symbols, return_index=True)
         self.begin = np.zeros(size, np.int64)
-        # The order is that of the symbols with their bits reversed, but equal ones lie together.
         self.begin[kinds] = begins
 
     def rank(self, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """How often each symbol occurs before its place."""
+        """How often each symbol occurs before its place; several rows of places at once."""
         at = places
-        for k, (blocks, before) in enumerate(self.levels):
-            block, inside = at >> 6, (at & 63).astype(np.uint64)
-            below = (np.uint64(1) << inside) - np.uint64(1)
-            ones = before[block] + np.bitwise_count(blocks[block] & below)
-            one = (symbols >> (self.bits - 1 - k)) & 1
-            at = np.where(one == 1, self.zeros[k] + ones, at - ones)
+        for shift, blocks, before, zeros in self.levels:
+            block = at >> 6
+            ones = before[block] + np.bitwise_count(blocks[block] & _BELOW[at & 63])
+            at = np.where((symbols >> shift) & 1 == 1, zeros + ones, at - ones)
         return at - self.begin[symbols]
 
 
@@ -181,8 +195,8 @@ class FmIndex:
         for k in range(1, length):
             symbols = patterns[ends[live] - k]
             live, symbols = live[symbols > 0], symbols[symbols > 0]
-            both = self.tree.rank(np.r_[symbols, symbols], np.r_[low[live], high[live]])
-            lower, upper = np.split(both + np.r_[self.starts[symbols], self.starts[symbols]], 2)
+            both = self.tree.rank(symbols, np.stack([low[live], high[live]]))
+            lower, upper = both + self.starts[symbols]
             more = upper - lower >= needed[live]
             live, lower, upper = live[more], lower[more], upper[more]
             low[live], high[live] = lower, upper
@@ -232,43 +246,60 @@ def _intervals(own: np.ndarray, begins: np.ndarray, least: np.ndarray):
 # --- Spark steps
 
 
+def _by_text(batches, at_once: int, of):
+    """`of` for a few rows at a time, each as lists of the batch's columns."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, at_once):
+            yield of(*[c.to_pylist() for c in batch.slice(k, at_once).columns])
+
+
+def _offsets(owner: np.ndarray, texts: int) -> pa.Array:
+    """Where the rows of each text begin and the last ends."""
+    counts = np.bincount(owner, minlength=texts)
+    return pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+
+
 def _grams(rows: DataFrame, settings: WindowSettings) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            keys, found = [], []
-            for key, text in zip(batch["key"], batch["text"]):
-                own = np.unique(anchors(words_of(text), settings)[0])
-                keys += [key] * len(own)
-                found.append(own)
-            yield pd.DataFrame({"key": keys, "gram": np.concatenate(found or [np.zeros(0, np.int64)])})
+    """key and the hashes of the anchors of every text."""
 
-    return rows.mapInPandas(run, _GRAMS)
+    def of(keys, texts):
+        owner, grams, _, _ = anchors([words_of(t) for t in texts], settings)
+        lists = pa.ListArray.from_arrays(_offsets(owner, len(texts)), pa.array(grams))
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), lists], names=["key", "grams"])
+
+    return rows.select("key", "text").mapInArrow(
+        lambda batches: _by_text(batches, settings.at_once, of), _GRAMS
+    )
 
 
 def _cut(texts: DataFrame, settings: WindowSettings) -> DataFrame:
     """The stretches of each text's shared anchors (`grams`)."""
 
-    def run(batches):
-        names = ["key", "first", "low", "gram", "part"]
-        last = None
-        for batch in batches:
-            out = []
-            for key, first, text, grams in zip(*[batch[c] for c in ("key", "first", "text", "grams")]):
-                if key == last:  # the same row once more
-                    continue
-                last = key
-                words = words_of(text)
-                found, lows, highs = anchors(words, settings)
-                shared = np.isin(found, grams)
-                for gram, low, high in zip(found[shared].tolist(), lows[shared].tolist(), highs[shared].tolist()):
-                    part = b" ".join(words[low : high + settings.length]).decode("utf-8", "surrogatepass")
-                    out.append((key, first, low, gram, part))
-                if len(out) > 20_000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
-
-    return texts.mapInPandas(run, _STRETCHES)
+    def of(keys, firsts, texts, grams):
+        words = [words_of(t) for t in texts]
+        owner, found, lows, highs = anchors(words, settings)
+        shared = np.zeros(len(owner), bool)
+        ends = np.cumsum(np.bincount(owner, minlength=len(words)))
+        for k, end in enumerate(ends):
+            begin = ends[k - 1] if k else 0
+            shared[begin:end] = np.isin(found[begin:end], np.array(grams[k], np.int64))
+        owner, found, lows, highs = owner[shared], found[shared], lows[shared], highs[shared]
+        parts = [
+            b" ".join(words[k][low:high])
+            for k, low, high in zip(owner.tolist(), lows.tolist(), (highs + settings.length).tolist())
+        ]
+        rows = pa.StructArray.from_arrays(
+            [pa.array(lows.astype(np.int32)), pa.array(found), pa.array(parts, pa.binary()).cast(pa.string())],
+            names=["low", "gram", "part"],
+        )
+        lists = pa.ListArray.from_arrays(_offsets(owner, len(keys)), rows)
+        columns = [pa.array(keys, pa.binary()), pa.array(firsts, pa.int64()), lists]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "first", "stretches"])
+
+    cut = texts.select("key", "first", "text", "grams").mapInArrow(
+        lambda batches: _by_text(batches, settings.at_once, of), _STRETCHES
+    )
+    return cut.select("key", "first", F.inline("stretches"))
 
 
 def _searched(cells: DataFrame, settings: WindowSettings) -> DataFrame:
@@ -276,7 +307,10 @@ def _searched(cells: DataFrame, settings: WindowSettings) -> DataFrame:
     dealt = cells.repartition("cell").sortWithinPartitions("cell")
 
     def shard(held):
-        rows = pd.concat(held, ignore_index=True).sort_values("first", kind="stable")
+        rows = pd.concat(held, ignore_index=True)
+        # A part by itself, of one document, meets nothing.
+        lone = ~rows["cell"].duplicated(keep=False) & (rows["first"] == rows["last"])
+        rows = rows[~lone].sort_values("first", kind="stable")
         names = rows["part"].tolist()
         found = search(
             [words_of(p) for p in names],
@@ -348,9 +382,10 @@ def repeated_windows(docs: DataFrame, settings: WindowSettings = WindowSettings(
     `docs` has doc_id, key (md5 of the text) and text."""
     known = docs.where(F.col("doc_id").isNotNull())
     grams = written(_grams(known.select("key", "text"), settings), "window-grams")
+    each = grams.select("key", F.explode("grams").alias("gram"))
     shared = written(
         # 64 bits tell two texts apart here.
-        grams.select("gram", F.xxhash64("key").alias("mark"))
+        each.select("gram", F.xxhash64("key").alias("mark"))
         .groupBy("gram")
         .agg(F.min("mark").alias("least"), F.max("mark").alias("most"))
         .where("least < most")
@@ -359,7 +394,7 @@ def repeated_windows(docs: DataFrame, settings: WindowSettings = WindowSettings(
     )
     firsts = known.groupBy("key").agg(F.min("doc_id").alias("first"))
     spots = written(
-        grams.join(shared.hint("merge"), "gram")
+        each.join(shared.hint("merge"), "gram")
         .groupBy("key")
         .agg(F.collect_set("gram").alias("grams"))  # no more than the text has words
         .join(firsts, "key"),
@@ -375,10 +410,9 @@ def repeated_windows(docs: DataFrame, settings: WindowSettings = WindowSettings(
         .join(found.hint("merge"), "part")
         .where(F.col("least") < F.col("first"))
         .groupBy("key")
-        .agg(
-            F.collect_list(F.col("at") + F.col("low")).alias("lows"),
-            F.collect_list("length").alias("lengths"),
-        )
+        # a set: rows that stand several times count once
+        .agg(F.collect_set(F.struct((F.col("at") + F.col("low")).alias("low"), "length")).alias("spans"))
+        .select("key", F.col("spans.low").alias("lows"), F.col("spans.length").alias("lengths"))
     )
     # Stored, so that the join with the texts can split the copies of one.
     result = written(places.join(firsts, "key", "right"), "window-places")

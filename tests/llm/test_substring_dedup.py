@@ -73,14 +73,18 @@ def test_words_are_split_at_six_characters_only(spark):
 def test_equal_windows_have_equal_anchors():
     draw = random.Random(2)
     settings = sd.WindowSettings(length=7, gram=3, segment=40)
-    words = [draw.choice([b"a", b"b", b"c"]) for _ in range(400)]
+    texts = [[draw.choice([b"a", b"b", b"c"]) for _ in range(n)] for n in (400, 6, 0, 7, 90, 1, 8, 300, 5)]
     seen = {}
-    grams, lows, highs = sd.anchors(words, settings)
-    assert [lows[0], *(highs[:-1] + 1)] == lows.tolist() and highs[-1] == len(words) - 7
-    for gram, low, high in zip(grams, lows, highs):
-        for p in range(low, high + 1):
-            assert seen.setdefault(tuple(words[p : p + 7]), gram) == gram
-    assert len(sd.anchors(words[:6], settings)[0]) == 0
+    owner, grams, lows, highs = sd.anchors(texts, settings)
+    for k, words in enumerate(texts):
+        own = owner == k
+        starts = [p for low, high in zip(lows[own], highs[own]) for p in range(low, high + 1)]
+        assert starts == list(range(len(words) - 6))
+        for gram, low, high in zip(grams[own], lows[own], highs[own]):
+            for p in range(low, high + 1):
+                assert seen.setdefault(tuple(words[p : p + 7]), gram) == gram
+    assert [len(c) for c in sd.anchors([words[:6] for words in texts], settings)] == [0] * 4
+    assert [len(c) for c in sd.anchors([], settings)] == [0] * 4
 
 
 @pytest.mark.parametrize("size", [1, 2, 3, 17, 64, 300])
