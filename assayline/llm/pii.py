@@ -2,23 +2,34 @@
 
 DataFrame functions only. Emails, addresses, cards and phone numbers are found by pattern.
 Each distinct value found is a protected entity. A word in a text that holds it carries
-pointwise mutual information about it; the share of the entity's own information that the word reveals is
+pointwise mutual information about it; the share of the entity's own information that the
+word reveals is
 
-    1 - log2(n(word) / n(word, entity)) / log2(N / n(entity))
+    1 - log2(1 / p) / log2(N / n(entity)),    p = n(word, entity) / n(word)
 
-over all N documents. Words that reveal more than a threshold, in at least two different
-contexts, are generalised or, beyond a higher threshold, removed wherever they stand, also in
-texts without a pattern match. The context is what stands around the entity: texts equal
-there count as one context, and one text as two only for a word near two of its places.
+over all N documents. p is taken at the lower end of its confidence interval, and the two
+must meet in so many contexts that chance would not bring any pair of the whole corpus
+together as often: the bound on the chance, times the number of all pairs of an entity and
+a word, must stay under a level. So the support grows with the corpus. Near copies of one
+text are one context: texts are told apart by the smallest word hashes that they have.
+
+Words that reveal more than a threshold are generalised or, beyond a higher threshold,
+removed wherever they stand, also in texts without a pattern match. Entities that share the
+set of their texts are examined as one.
+
+Texts stay where they lie. Only the words of texts with an entity, and the counts of words,
+are shuffled; the words found are few and are brought to the texts.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assayline.llm.tables import pick, written
+from assayline.llm.tables import forget, let, written
+from assayline.operators.lookup import LookupBounds, fits
 
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone", "removed", "generalised")
@@ -38,15 +49,15 @@ _SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 @dataclass(frozen=True)
 class PiiSettings:
-    # Code points on either side of an entity that are its context.
-    near: int = 80
     # Share of the entity's information from which a word is generalised, and removed.
     generalise: float = 0.8
     remove: float = 0.95
-    # Different contexts in which word and entity must meet.
-    support: int = 2
-    # Shorter words are never taken.
-    shortest: int = 3
+    # Standard deviations of the confidence interval of p.
+    deviations: float = 1.96
+    # Expected number of pairs that meet often enough by chance, over the whole corpus.
+    by_chance: float = 0.01
+    # Smallest hashes by which near copies are told from other texts.
+    marks: int = 4
 
 
 def _digits(value: Column) -> Column:
@@ -124,115 +135,147 @@ def base_spans(text: Column) -> Column:
     return F.concat(*found)
 
 
-def located(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Every row's pattern matches, with a key that equal texts share."""
-    rows = pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
-    spans = rows.withColumn("spans", base_spans(F.col("text")))
-    return spans.withColumn("key", F.unhex(F.md5("text")))
-
-
-def _stretches(texts: DataFrame, settings: PiiSettings) -> DataFrame:
-    """key, entity, context and the stretch around every entity of the distinct texts."""
-    near = settings.near
-    entity = texts.select("key", "text", "spans", F.explode("spans").alias("e"))
-    # A word that the edge of the stretch may cut is left out: one more code point is taken
-    # on either side and a word touching it does not count.
-    low = F.greatest(F.col("e.start") - near - 1, F.lit(0))
-    high = F.col("e.end") + near + 1
-    stretch = F.substring(F.col("text"), low + 1, high - low)
-    inside = F.filter("spans", lambda s: (s["start"] < high) & (s["end"] > low))
-    return entity.select(
-        "key",
-        F.struct(F.col("e.kind"), F.lower(F.when(F.col("e.kind") >= 2, _digits(F.col("e.value"))).otherwise(F.col("e.value"))).alias("value")).alias("entity"),
-        F.xxhash64(stretch).alias("context"),
-        inside.alias("spans"),
-        low.alias("low"),
-        F.length("text").alias("length"),
-        stretch.alias("stretch"),
-    )
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
 
 
-def _near(stretches: DataFrame) -> DataFrame:
-    """entity, term and the number of different contexts the term stands in, near the entity."""
-    words = _matches(F.col("stretch"), _TERM, 0)
-    each = stretches.select(
-        "spans", "entity", "low", "length", F.length("stretch").alias("width"), "context",
-        F.explode(words).alias("w"),
-    )
-    end = F.col("low") + F.col("w.end")
-    uncut = ((F.col("w.start") > 0) | (F.col("low") == 0)) & (
-        (F.col("w.end") < F.col("width")) | (end == F.col("length"))
-    )
-    clear = ~F.exists("spans", lambda s: (s["start"] < F.col("low") + F.col("w.end")) & (s["end"] > F.col("low") + F.col("w.start")))
-    return (
-        each.where(uncut & clear)
-        .select("entity", F.lower("w.value").alias("term"), "context")
-        .distinct()
-        .groupBy("entity", "term")
-        .agg(F.count("*").alias("near"))
-    )
+def _entity(span: Column) -> Column:
+    """Kind and value of a span, the same however it is written."""
+    value = F.when(span["kind"] >= 2, _digits(span["value"])).otherwise(F.lower(span["value"]))
+    return F.struct(span["kind"].alias("kind"), value.alias("value"))
 
 
-def _terms(text: Column) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
+def _unlikely(meetings: str, settings: PiiSettings) -> Column:
+    """Whether chance would hardly bring any pair together in so many contexts.
 
+    Chernoff's bound of a Poisson count of mean m = n(word) n(entity) / N to reach c, which is
+    e^(c - m) (m / c)^c, times the number of pairs, in logarithms.
+    """
+    mean, c = F.col("n_term") * F.col("n_entity") / F.col("n"), F.col(meetings)
+    bound = c - mean + c * F.log(mean / c)
+    return (c > mean) & (F.log(F.col("pairs")) + bound <= math.log(settings.by_chance))
 
-def _revealing(docs: DataFrame, found: DataFrame, texts: DataFrame, settings: PiiSettings) -> DataFrame:
-    """Every term that reveals enough of some entity, and the largest share it reveals."""
-    stretches = written(_stretches(texts, settings), "pii-stretches")
-    copies = found.where(F.size("spans") > 0).groupBy("key").agg(F.count("*").alias("copies"))
-    held = (
-        stretches.groupBy("entity", "key").agg(F.min("context").alias("context")).join(copies, "key")
-    )
-    # An entity in fewer contexts supports no term.
-    entities = (
-        stretches.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= settings.support)
-        .join(held.groupBy("entity").agg(F.sum("copies").alias("n_entity")), "entity")
-        .select("entity", "n_entity")
+
+def _reveals(settings: PiiSettings) -> Column:
+    """Share of the entity's information, p at the lower end of Wilson's interval."""
+    z, n = settings.deviations, F.col("n_term")
+    p = F.least(F.lit(1.0), F.col("both") / n)
+    middle = p + z * z / (2 * n)
+    width = z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))
+    lowest = F.greatest((middle - width) / (1 + z * z / n), F.lit(1e-300))
+    return 1 + F.log2(lowest) / F.log2(F.col("n") / F.col("n_entity"))
+
+
+def _beside(rows: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFrame:
+    """A join with a side that is broadcast only where measured to be small."""
+    return rows.join(F.broadcast(side) if fits(side, LookupBounds()) else side.hint("merge"), on, how)
+
+
+def revealing(rows: DataFrame, settings: PiiSettings = PiiSettings()) -> DataFrame:
+    """term and the largest share it reveals of any entity. `rows` has text (no nulls), key
+    (md5 of the text) and base, its pattern matches."""
+    matched = written(rows.where(F.size("base") > 0).select("key", "text", "base"), "pii-matched")
+    clear = sanitised(F.col("text"), F.col("base"), " ")
+    # The copies of a text are one row, without the text.
+    texts = written(
+        matched.groupBy("key")
+        .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base"))
+        .select(
+            "key", "copies", _terms(clear).alias("terms"),
+            F.array_distinct(F.transform("base", _entity)).alias("entities"),
+        ),
+        "pii-texts",
     )
     # Stored, so that the join can split the rows of a term that most texts hold.
     counts = written(
-        pick(docs, text="text")
-        .select(F.explode(_terms(F.col("text"))).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("n_term")),
+        rows.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(
+            F.count("*").alias("n_term")
+        ),
         "pii-counts",
     )
-    total = found.agg(F.count("*").alias("n"))
-    clear = sanitised(F.col("text"), F.col("spans"), " ")
-    terms = (
-        texts.select("key", F.explode(_terms(clear)).alias("term"))
-        .where(F.length("term") >= settings.shortest)
-        .join(counts, "term")
+    marks = [_two_smallest(F.transform("terms", _seeded(k))) for k in range(settings.marks)]
+    held = texts.select("key", "copies", F.array(*marks).alias("marks"), F.explode("entities").alias("entity"))
+    # The set of an entity's texts by two 64-bit sums.
+    same = [F.bit_xor(F.xxhash64("key", F.lit(k))).alias(f"set{k}") for k in (0, 1)]
+    classes = written(
+        held.groupBy("entity")
+        .agg(*same, F.count("*").alias("texts"), F.sum("copies").alias("n_entity"))
+        .groupBy("set0", "set1", "texts", "n_entity")
+        .agg(F.min("entity").alias("entity"), F.count("*").alias("members")),
+        "pii-entities",
+    )
+    n, words = rows.count(), counts.count()
+    pairs = float((classes.agg(F.sum("members")).first()[0] or 0) * words)
+    # Were every text of the entity, and no other, to hold the word.
+    best = (
+        classes.select("entity", "texts", "n_entity", F.lit(n).alias("n"), F.lit(pairs).alias("pairs"))
+        .where(F.col("n") > F.col("n_entity"))
+        .withColumn("n_term", F.col("texts"))
     )
     # No term met with the entity in all its texts reveals enough if it is in more texts.
     most = F.col("n_entity") * F.pow(F.col("n") / F.col("n_entity"), F.lit(1 - settings.generalise))
-    bounded = (
-        held.join(entities, "entity")
-        .crossJoin(F.broadcast(total))  # one row
-        .where(F.col("n") > F.col("n_entity"))
-        .withColumn("most", most * (1 + 1e-9))
+    entities = written(
+        best.where(_unlikely("texts", settings))
+        .select("entity", "n", "pairs", "n_entity", (most * (1 + 1e-9)).alias("most")),
+        "pii-candidates",
     )
-    met = (
-        bounded.join(terms, "key")
+    bounded = _beside(held, entities, "entity")
+    widest = entities.agg(F.max("most")).first()[0] or 0.0
+    terms = written(
+        texts.join(bounded.select("key").distinct(), "key", "left_semi")
+        .select("key", F.explode("terms").alias("term"))
+        .join(counts.where(F.col("n_term") <= widest).hint("merge"), "term"),
+        "pii-terms",
+    )
+    pair = ["entity", "term", "n", "pairs", "n_entity", "n_term"]
+    met = written(
+        bounded.join(terms.hint("merge"), "key")
         .where(F.col("n_term") <= F.col("most"))
-        .groupBy("entity", "term", "context", "n", "n_entity", "n_term")
-        .agg(F.sum("copies").alias("both"))
-        .groupBy("entity", "term", "n", "n_entity", "n_term")
-        .agg(F.sum("both").alias("both"), F.count("*").alias("contexts"))
+        .groupBy(*pair)
+        .agg(F.sum("copies").alias("both"), F.count("*").alias("texts"))
+        .withColumn("reveals", _reveals(settings))
+        .where((F.col("reveals") >= settings.generalise) & _unlikely("texts", settings)),
+        "pii-met",
     )
-    reveals = 1 - F.log2(F.col("n_term") / F.col("both")) / F.log2(F.col("n") / F.col("n_entity"))
-    return (
-        met.withColumn("reveals", reveals)
-        .where(F.col("reveals") >= settings.generalise)
-        .join(_near(stretches), ["entity", "term"], "left")
-        .where(F.greatest("contexts", F.coalesce("near", F.lit(0))) >= settings.support)
+    # Of the few that are left, the texts that are no near copies of one another.
+    apart = [
+        F.count_distinct(_mark_without("term", k)).alias(f"apart{k}") for k in range(settings.marks)
+    ]
+    contexts = (
+        _beside(terms.select("key", "term"), met.select("term").distinct(), "term", "left_semi")
+        .join(bounded.select("entity", "key", "marks"), "key")
+        .join(met.select("entity", "term").hint("merge"), ["entity", "term"])
+        .groupBy("entity", "term")
+        .agg(*apart)
+        .select("entity", "term", F.least(*[f"apart{k}" for k in range(settings.marks)]).alias("contexts"))
+    )
+    strong = written(
+        met.join(contexts, ["entity", "term"])
+        .where(_unlikely("contexts", settings))
         .groupBy("term")
-        .agg(F.max("reveals").alias("reveals"))
+        .agg(F.max("reveals").alias("reveals")),
+        "pii-strong",
+    )
+    forget(matched, texts, counts, classes, entities, terms, met)
+    return strong
+
+
+def _seeded(seed: int):
+    return lambda word: F.xxhash64(word, F.lit(seed))
+
+
+def _two_smallest(hashes: Column) -> Column:
+    return let(
+        hashes, lambda h: F.array(F.array_min(h), F.array_min(F.filter(h, lambda x: x > F.array_min(h))))
     )
 
 
+def _mark_without(term: str, seed: int) -> Column:
+    """A text's smallest word hash, not counting the term, which all texts compared have."""
+    smallest, next_ = [F.get(F.get("marks", F.lit(seed)), F.lit(k)) for k in (0, 1)]
+    return F.when(smallest == F.xxhash64(term, F.lit(seed)), F.coalesce(next_, smallest)).otherwise(smallest)
+
+
 def _places(text: Column, terms: Column) -> Column:
     """start, end and word of every word of the text that is one of `terms`."""
     pieces = F.zip_with(
@@ -258,45 +301,55 @@ def _places(text: Column, terms: Column) -> Column:
     return F.aggregate(pieces, begin, add, lambda state: state["spans"])
 
 
-def find(
-    docs: DataFrame,
-    settings: PiiSettings = PiiSettings(),
-    *,
-    text: str = "text",
-    doc_id: str = "doc_id",
-) -> DataFrame:
-    """doc_id, key of the text and all spans of every row, by kind and then start."""
-    rows = pick(docs, doc_id=doc_id, text=text)
-    whole = located(rows)
-    found = written(whole.select("doc_id", "key", "spans"), "pii-found")
-    texts = written(
-        whole.where(F.size("spans") > 0).select("key", "text", "spans").dropDuplicates(["key"]),
-        "pii-texts",
-    )
-    strong = written(_revealing(rows, found, texts, settings), "pii-terms")
+def _annotated(rows: DataFrame, settings: PiiSettings) -> DataFrame:
+    """`rows` (row, text) with spans: pattern matches by kind and then start, and the
+    revealing words by place. Texts stay where they are."""
+    keyed = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.unhex(F.md5("text")))
+    whole = keyed.withColumn("base", base_spans(F.col("text")))
     kind = F.when(F.col("reveals") >= settings.remove, KINDS.index("removed")).otherwise(
         KINDS.index("generalised")
     )
-    keyed = rows.where(F.col("text").isNotNull()).select("text", F.unhex(F.md5("text")).alias("key"))
-    hits = (
-        keyed.select("key", F.explode(_terms(F.col("text"))).alias("term"))
-        .join(strong.select("term", kind.alias("kind")), "term")
+    strong = revealing(whole, settings).select("term", kind.alias("kind"))
+    words = keyed.select("key", F.explode(_terms(F.col("text"))).alias("term"))
+    hits = written(
+        _beside(words, strong, "term")
         .distinct()
         .groupBy("key")
         # the revealing terms of one text
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("terms")),
+        "pii-hits",
     )
-    extra = (
-        keyed.dropDuplicates(["key"])
-        .join(hits, "key")
-        .select("key", _places(F.col("text"), F.col("terms")).alias("extra"))
+    extra = F.when(F.col("terms").isNotNull(), _places(F.col("text"), F.col("terms"))).otherwise(
+        F.array().cast(_SPAN)
     )
 
     def clear(w):
-        return ~F.exists("spans", lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
+        return ~F.exists("base", lambda s: (s["start"] < w["end"]) & (s["end"] > w["start"]))
+
+    place = F.array_sort(F.filter("extra", clear))
+    sized = F.broadcast(hits) if _small(hits) else hits.hint("merge")
+    return (
+        whole.join(sized, "key", "left")
+        .withColumn("extra", extra)
+        .select("row", "text", F.concat("base", place).alias("spans"))
+    )
+
 
-    spans = F.concat("spans", F.coalesce(F.array_sort(F.filter("extra", clear)), F.array().cast(_SPAN)))
-    return found.join(extra, "key", "left").select("doc_id", "key", spans.alias("spans"))
+def _small(hits: DataFrame) -> bool:
+    """Whether the words found may be broadcast: measured as rows of a word each."""
+    return fits(hits.select("key", F.explode(F.map_keys("terms")).alias("term")), LookupBounds())
+
+
+def find(
+    docs: DataFrame,
+    settings: PiiSettings = PiiSettings(),
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """doc_id and all spans of every row, by kind and then start, in code points."""
+    rows = docs.select(docs[doc_id].alias("row"), docs[text].alias("text"))
+    return _annotated(rows, settings).select(F.col("row").alias("doc_id"), "spans")
 
 
 def _listed(spans: Column) -> Column:
@@ -375,18 +428,19 @@ def sanitised(text: Column, spans: Column, mark: str | None = None) -> Column:
     )
 
 
-def sanitise(docs: DataFrame, settings: PiiSettings = PiiSettings()) -> DataFrame:
-    """The rows with their text sanitised; rows without spans are as they were."""
-    found = find(docs, settings)
-    spans = found.where(F.size("spans") > 0).groupBy(F.col("key").alias("_key")).agg(
-        F.first("spans").alias("_spans")
-    )
-    keyed = docs.withColumn("_key", F.unhex(F.md5("text")))
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(
-        sanitised(F.col("text"), F.col("_spans"))
+def sanitise(
+    docs: DataFrame, settings: PiiSettings = PiiSettings(), *, text: str = "text"
+) -> DataFrame:
+    """All rows and columns of `docs`, the text sanitised.
+
+    Null texts stay null, empty ones empty, and rows without spans are as they were; equal
+    texts come out equal. An empty table gives no rows. Columns may have any other names.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
+    clean = F.when(F.size("spans") == 0, F.col("row")[text]).otherwise(
+        sanitised(F.col("text"), F.col("spans"))
     )
-    return (
-        keyed.join(spans, "_key", "left")
-        .withColumn("text", clean)
-        .select(*docs.columns)
+    done = _annotated(rows, settings).withColumn("clean", clean)
+    return done.select(
+        *[(F.col("clean") if c == text else F.col("row")[c]).alias(c) for c in docs.columns]
     )
