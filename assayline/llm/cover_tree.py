@@ -98,7 +98,16 @@ class DualSearch:
         order = np.argsort(ids, kind="stable")  # then a smaller row is a smaller id
         self.q, self.query_ids, self.c, self.ids = queries, query_ids, candidates[order], ids[order]
         self.k = k
-        self.scores = np.full((len(queries), k), -np.inf)
+        # No sum of products exceeds the product of the lengths. Up to 2 ** 53 doubles hold
+        # whole numbers exactly; beyond it products are of 64-bit whole numbers.
+        longest = [float((np.square(x).sum(axis=1) if len(x) else np.zeros(1)).max()) ** 0.5 for x in (self.q, self.c)]
+        self.none = -np.inf
+        if longest[0] * longest[1] * (1 + 1e-9) >= 2.0**53:
+            self.whole = self.q.astype(np.int64), self.c.astype(np.int64)
+            self.none = -(2**63 - 1)
+        else:
+            self.whole = self.q, self.c
+        self.scores = np.full((len(queries), k), self.none, self.whole[0].dtype)
         self.rows = np.full((len(queries), k), np.iinfo(np.int64).max)
         self.leaf = leaf
         self.compared = 0
@@ -154,8 +163,8 @@ class DualSearch:
 
     def _compare(self, q: np.ndarray, c: np.ndarray) -> None:
         self.compared += len(q) * len(c)
-        score = self.q[q] @ self.c[c].T
-        score[self.query_ids[q][:, None] == self.ids[c][None, :]] = -np.inf
+        score = self.whole[0][q] @ self.whole[1][c].T
+        score[self.query_ids[q][:, None] == self.ids[c][None, :]] = self.none
         # Only scores that may enter a query's list; a tie may, with a smaller id.
         enters = score >= self.scores[q, -1][:, None]
         some = np.flatnonzero(enters.any(axis=1))
@@ -170,7 +179,7 @@ class DualSearch:
         self.rows[q] = np.take_along_axis(rows, best, 1)
 
     def frame(self) -> pd.DataFrame:
-        real = np.isfinite(self.scores)
+        real = self.scores > self.none
         return pd.DataFrame(
             {
                 "query_id": np.repeat(self.query_ids, real.sum(axis=1)),

@@ -8,11 +8,11 @@ the landmarks; a batch of texts is scored by two matrix products.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from assayline.llm.tables import id_remainder, map_rows, pick
@@ -26,6 +26,8 @@ class KernelSettings:
     # The model is fitted on at most this many distinct texts of each language, those with
     # the smallest hash, and the first of them are landmarks. Every row is scored.
     sample: int = 200
+    # Languages learned, those with the most texts.
+    languages: int = 256
     landmarks: int = 24
     ridge: float = 1e-2
     # Texts scored by one matrix product.
@@ -35,7 +37,7 @@ class KernelSettings:
     held: int = 2
 
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")  # the letter categories, as in `fit`
 _OFFSETS = (0, 1 << 8, (1 << 8) + (1 << 16))
 SPACE = (1 << 8) + (1 << 16) + (1 << 24)
 _scratch: dict[str, np.ndarray] = {}
@@ -153,9 +155,16 @@ def fit(
         ~held & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")
     ).withColumn("key", F.xxhash64("text", "lang"))
     # Copies meet in one row before the languages are ranked, on keys without texts.
-    keys = usable.select("lang", "key").distinct()
-    first = Window.partitionBy("lang").orderBy("key")
-    chosen = keys.withColumn("place", F.row_number().over(first)).where(
+    keys = usable.select("lang", "key", F.shiftrightunsigned("key", 1).alias("order")).distinct()
+    sizes = (
+        keys.groupBy("lang").agg(F.count("*").alias("texts"))
+        .orderBy(F.desc("texts"), "lang").limit(settings.languages)
+    )
+    # Some times the sample passes this bound, so few rows of a language are ever ranked.
+    share = F.least(F.lit(1.0), (4 * settings.sample + 64) / F.col("texts"))
+    few = keys.join(F.broadcast(sizes), "lang").where(F.col("order") <= share * 2.0**63)
+    first = Window.partitionBy("lang").orderBy("order", "key")
+    chosen = few.withColumn("place", F.row_number().over(first)).where(
         F.col("place") <= settings.sample
     )
     picked = [r["key"] for r in chosen.select("key").collect()]

@@ -103,9 +103,10 @@ class Scanner:
         if seeds:
             automaton.make_automaton()
         self.automaton = automaton if seeds else None
-        self.fuzzy = [
-            regex.compile(f"(?be)(?:{regex.escape(n.text)}){{e<={n.errors}}}")
-            for n in self.notices
+        # The first tells in order where a notice stands, the second where it fits best.
+        self.fuzzy, self.best = [
+            [regex.compile(f"(?{flag})(?:{regex.escape(n.text)}){{e<={n.errors}}}") for n in self.notices]
+            for flag in ("e", "be")
         ]
 
     def scan(self, text: str | None) -> Found:
@@ -142,6 +143,16 @@ class Scanner:
             found[k] = merged
         return found
 
+    def _fits(self, k: int, characters: str, low: int, high: int):
+        """The best fit between two places, and the best of what is left before and after."""
+        if high - low < len(self.notices[k].text) - self.notices[k].errors:
+            return
+        m = self.best[k].search(characters, low, high)
+        if m:
+            yield from self._fits(k, characters, low, m.start())
+            yield m.start(), m.end(), sum(m.fuzzy_counts)
+            yield from self._fits(k, characters, m.end(), high)
+
     def spans(self, raw: bytes) -> list[tuple[str, int, int, int, float]]:
         """Verified notices, at most one label at a place; code points, end exclusive."""
         characters = raw.decode("latin-1")
@@ -149,11 +160,12 @@ class Scanner:
         for k, stretches in self.windows(characters).items():
             notice = self.notices[k]
             for a, b in stretches:
-                for m in self.fuzzy[k].finditer(characters[a:b]):
-                    errors = sum(m.fuzzy_counts)
-                    found.append(
-                        (errors / len(notice.text), a + m.start(), a + m.end(), errors, k)
-                    )
+                done = a
+                for m in self.fuzzy[k].finditer(characters, a, b):
+                    low = max(done, m.start() - notice.errors)
+                    for start, end, errors in self._fits(k, characters, low, min(b, m.end() + notice.errors)):
+                        found.append((errors / len(notice.text), start, end, errors, k))
+                        done = max(done, end)
         kept: list[tuple[str, int, int, int, float]] = []
         taken: list[tuple[int, int]] = []
         for share, start, end, errors, k in sorted(found):

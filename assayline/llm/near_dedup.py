@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from assayline.llm.tables import pick, written
+from assayline.llm.tables import columns_of, forget, pick, row_of, written
 
 SIGNED = "key binary, signature binary"
 PAIRS = "a binary, b binary, similarity double"
@@ -403,6 +403,7 @@ def links(docs: DataFrame, settings: NearSettings = NearSettings(), text: str =
     good = tested.where(F.col("similarity") >= settings.similarity)
     classes = written(components(spark, good.select("a", "b")), "near-classes")
     found = written(_between_classes(buckets, signed, distinct, classes, settings), "near-found")
+    forget(distinct, signed, buckets)
     # What is known of the classes is a star each; the new links are added to the stars.
     stars = classes.where("key <> class").select("key", "class")
     joined = components(spark, stars.toDF("a", "b").union(found.select("a", "b")))
@@ -416,10 +417,10 @@ def near_duplicates(
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """doc_id, class_id (smallest doc_id of the class), n_links, n_class of every row.
+    """doc_id, class_id (smallest doc_id of the class), n_verified, n_class of every row.
 
-    Texts with equal lower-case words are copies. `n_links` counts the verified links that
-    join a text to its class, which need not be all it has; `n_class` the rows of the class. Texts of fewer
+    Texts with equal lower-case words are copies. `n_verified` counts the pairs with a
+    text that were compared in full and found alike, enough to join its class and seldom all; `n_class` the rows of the class. Texts of fewer
     than five words are one shingle. A null, empty or blank text is like nothing: it is in
     a class of its own with its own id. A class of null ids only has a null class_id. One
     row per input row, repeated rows included; other columns are left out.
@@ -428,7 +429,7 @@ def near_duplicates(
     count = (
         good.select(F.explode(F.array("a", "b")).alias("_key"))
         .groupBy("_key")
-        .agg(F.count("*").alias("n_links"))
+        .agg(F.count("*").alias("n_verified"))
     )
     named = classes.select(F.col("key").alias("_key"), F.col("class").alias("_class"))
     each = (
@@ -445,15 +446,24 @@ def near_duplicates(
     return each.join(least, "_class", "left").select(
         "doc_id",
         F.when(F.col("_class").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.coalesce("n_verified", F.lit(0)).alias("n_verified"),
         F.coalesce("_n", F.lit(1)).alias("n_class"),
     )
 
 
-def keep_one(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFrame:
+def keep_one(
+    docs: DataFrame,
+    settings: NearSettings = NearSettings(),
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
+) -> DataFrame:
     """One row of each class, the one with the smallest doc_id (null last, then by text);
-    rows without a word all stay."""
-    rows, _, classes = links(docs, settings)
+    rows without a word all stay. Rows of one id and text are one. An empty table gives no
+    rows. Columns may have any other names."""
+    rows, _, classes = links(
+        docs.select(row_of(docs).alias("row"), docs[doc_id].alias("doc_id"), docs[text].alias("text")), settings
+    )
     named = classes.select(F.col("key").alias("_key"), F.col("class").alias("_class"))
     marked = rows.withColumn("_text", F.unhex(F.md5("text"))).withColumn(
         "_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -472,4 +482,4 @@ def keep_one(docs: DataFrame, settings: NearSettings = NearSettings()) -> DataFr
     kept = marked.where(F.col("_key").isNotNull()).join(best, ["_id", "_text"], "left_semi")
     blank = marked.where(F.col("_key").isNull())
     # Rows that repeat each other whole are one.
-    return kept.dropDuplicates(["_id", "_text"]).unionByName(blank).select(*docs.columns)
+    return kept.dropDuplicates(["_id", "_text"]).unionByName(blank).select(*columns_of(docs))

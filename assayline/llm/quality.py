@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from assayline.llm.tables import id_remainder, pick, with_measure, written
+from assayline.llm.tables import id_remainder, pick, unused, with_measure, written
 
 FEATURES = (
     "log_chars",
@@ -309,11 +309,22 @@ def classify(
 
 
 def keep_good(
-    docs: DataFrame, labels: DataFrame, settings: QualitySettings = QualitySettings()
+    docs: DataFrame,
+    labels: DataFrame,
+    settings: QualitySettings = QualitySettings(),
+    *,
+    text: str = "text",
+    doc_id: str = "doc_id",
 ) -> DataFrame:
-    """The rows whose text is predicted to be of good quality, with their own columns."""
-    shaped = written(with_shape(docs, name="_shape"), "quality-kept")
-    rows = shaped.select(shaped["doc_id"], shaped["_shape"].alias("shape"))
+    """The rows whose text is predicted to be of good quality, with their own columns.
+
+    Null and empty texts are scored like any other, repeated rows share one fate, rows with a
+    null id are not learned from. An empty table gives no rows; without labels every score is
+    1/2, and all rows stay. Columns may have any other names.
+    """
+    shape = unused(docs, "shape")
+    shaped = written(with_shape(docs, text, shape), "quality-kept")
+    rows = shaped.select(shaped[doc_id].alias("doc_id"), shaped[shape].alias("shape"))
     model = fit(rows, labels, settings)
-    good = score(model, F.col("_shape")) >= settings.threshold
-    return shaped.where(good).select(*docs.columns)
+    good = score(model, F.col(shape)) >= settings.threshold
+    return shaped.where(good).select(*[shaped[c] for c in docs.columns])

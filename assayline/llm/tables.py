@@ -43,6 +43,24 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[name].alias(alias) for alias, name in columns.items()])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name the table lacks, in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_of(df: DataFrame) -> Column:
+    """The whole row as one value, beside which working columns may have any name."""
+    return F.struct(*[df[c] for c in df.columns])
+
+
+def columns_of(df: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of `df` out of such a value."""
+    return [F.col(row)[c].alias(c) for c in df.columns]
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of an id as text, modulo a small number; null for a null id."""
     return F.crc32(F.col(column).cast("string")) % divisor

@@ -117,6 +117,49 @@ def test_every_notice_is_found_with_its_errors():
             assert notice.label in [s[0] for s in found]
 
 
+def changed(r, text, edits):
+    """Some insertions, deletions and substitutions by letters the notices don't have."""
+    for _ in range(edits):
+        at, kind = r.randrange(len(text)), r.randrange(3)
+        text = text[:at] + ("#" if kind else "") + text[at + (kind != 1) :]
+    return text
+
+
+def test_edited_notices_in_a_row_are_all_found():
+    """Up to the allowed edits of any kind, each notice beside others of its kind; spans are
+    where an edit distance over all stretches says."""
+    scanner = license_scan.Scanner()
+    r = random.Random(7)
+    for notice in scanner.notices:
+        for _ in range(6):
+            edits = [r.randint(0, notice.errors) for _ in range(5)]
+            copies = [changed(r, notice.text, n) for n in edits]
+            text = " ~~~~~ ".join(copies)
+            spans = [s for s in scanner.scan(text).spans if s[0] == notice.label]
+            assert len(spans) == len(copies)
+            for (label, start, end, errors, share), copy, n in zip(spans, copies, edits):
+                assert errors <= n and share == pytest.approx(1 - errors / len(notice.text))
+                assert errors == distance(notice.text, text[start:end])
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_an_earlier_worse_notice_is_not_lost():
+    scanner = license_scan.Scanner()
+    for text in (
+        "released under teh mit license released under the mit license",
+        "released under the mit license released under teh mit license",
+    ):
+        assert [s[1:3] for s in scanner.scan(text).spans] == [(0, 30), (31, 61)]
+
+
 def test_license_edge_rows(edge_docs, no_docs):
     got = license_scan.scan_licenses(edge_docs).collect()
     assert sorted(r.n_words for r in got) == sorted(license_base(t or "")[0] for _, t in EDGE)
@@ -315,6 +358,87 @@ def test_tables_add_up_to_the_score():
     assert np.mean((model.scores(x) > 0.5) == y) > 0.95
 
 
+def test_scores_are_sums_of_table_entries():
+    """Every score again, entry by entry, from the edges and tables alone."""
+    import bisect
+    import math
+
+    rng = np.random.default_rng(2)
+    x = rng.random((300, len(quality.FEATURES)))
+    y = ((x[:, 0] + x[:, 3] * x[:, 5]) > 0.7).astype(float)
+    model = quality.train(x, y, quality.QualitySettings(rounds=8))
+    for row, got in zip(x, model.scores(x)):
+        places = [bisect.bisect_left(edges.tolist(), v) for edges, v in zip(model.edges, row)]
+        total = model.base + sum(table[k] for table, k in zip(model.tables, places))
+        for (a, b), table in zip(model.pairs, model.pair_tables):
+            total += table[model.coarse[a][places[a]]][model.coarse[b][places[b]]]
+        assert got == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_trees_take_the_best_cuts():
+    """The first cut of a shallow tree is the best of all, by squared sums over weights."""
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        n = int(rng.integers(2, 12))
+        g, h = rng.normal(size=n), rng.random(n) + 0.1
+        value = quality._tree(g, h, 2, 1.0)
+
+        def gain(cut):
+            return sum(g[p].sum() ** 2 / (h[p].sum() + 1.0) for p in (slice(0, cut), slice(cut, n)))
+
+        best = max(range(1, n), key=gain)
+        if gain(best) - g.sum() ** 2 / (h.sum() + 1.0) > 1e-6:
+            for p in (slice(0, best), slice(best, n)):
+                assert value[p] == pytest.approx(g[p].sum() / (h[p].sum() + 1.0))
+
+
+def test_kernel_and_ridge_equal_a_dense_solution():
+    r = random.Random(4)
+    pools = {"xx": "abcd ", "yy": "cdef ", "zz": "fgha "}
+    texts = [(k, "".join(r.choices(pool, k=r.randint(5, 60)))) for k, pool in pools.items() for _ in range(20)]
+    settings = language.KernelSettings(landmarks=6, batch=7)
+    model = language.solve([(k, language.grams(t)) for k, t in texts], settings)
+
+    def grams(text):
+        raw = f" {text.lower()} ".encode()
+        return {raw[k : k + n] for n in (1, 2, 3) for k in range(len(raw) - n + 1)}
+
+    def kernel(left, right):
+        return np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in right] for a in left])
+
+    marks = [grams(t) for name in sorted(pools) for t in [t for k, t in texts if k == name][:6]]
+    c, k = kernel([grams(t) for _, t in texts], marks), kernel(marks, marks)
+    targets = np.array([[float(own == other) for other in sorted(pools)] for own, _ in texts])
+    share = np.array([1 / 20] * len(texts))
+    left = (c * share[:, None]).T @ c + settings.ridge * (k + 1e-6 * np.eye(len(marks)))
+    weights = np.linalg.solve(left, (c * share[:, None]).T @ targets)
+    new = ["".join(r.choices(pool, k=30)) for pool in pools.values()]
+    got = model.scorer().kernel([language.grams(t) for t in new])
+    assert got == pytest.approx(kernel([grams(t) for t in new], marks), rel=1e-5)
+    assert got @ model.weights == pytest.approx(kernel([grams(t) for t in new], marks) @ weights, abs=1e-3)
+    assert model.scorer().predict(new)[0] == sorted(pools)
+
+
+@pytest.mark.parametrize("text,letter", [
+    ("½ ² Ⅷ", False), ("٣", False), ("_ 12", False), ("ª", True), ("漢", True), ("é", True), ("ⓐ", False), ("", False),
+])
+def test_letters_are_the_letter_categories(spark, text, letter):
+    assert language.has_letter(text) == letter
+    rows = spark.createDataFrame([(text,)], "text string")
+    assert rows.where(F.col("text").rlike(r"\p{L}")).count() == letter
+
+
+def test_language_sample_is_bounded(spark):
+    """Rare languages beyond the bound are left out, large ones are not ranked whole."""
+    r = random.Random(1)
+    rows = [(4 * k + 1, "".join(r.choices("abc ", k=20)) + str(k), "big") for k in range(400)]
+    rows += [(4 * k + 3, "".join(r.choices("xyz ", k=20)) + str(k), "mid") for k in range(30)]
+    rows += [(5000 + 4 * k + 1, "qqq", f"rare{k}") for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, language.KernelSettings(sample=10, languages=2, landmarks=4))
+    assert model.languages == ["big", "mid"] and model.presence.shape[1] == 8
+
+
 def test_language_on_the_held_out_fold(known):
     docs = known[0]
     found = language.identify(docs, language.fit(docs))

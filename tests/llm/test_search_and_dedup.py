@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from assayline.llm import cover_tree, decontaminate, near_dedup, suffix_dedup
+from assayline.llm import cover_tree, decontaminate, near_dedup, quality, suffix_dedup
 from tests.llm.conftest import EDGE
 
 
@@ -50,6 +50,16 @@ def test_dual_tree_equals_brute_force():
         assert sorted(map(tuple, got.values.tolist())) == sorted(tuple(map(int, w)) for w in want)
 
 
+def test_large_components_are_multiplied_exactly(spark):
+    """Products beyond 2 ** 53, where doubles would round them."""
+    rng = np.random.default_rng(8)
+    rows = [(k, (rng.integers(-(10**6), 10**6, 6) + 0.25).tolist()) for k in range(200)]
+    rows += [(200 + k, rows[k][1]) for k in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = cover_tree.top_k(frame, cover_tree.SearchSettings(every=7, leaf=4, queries=9, candidates=50))
+    assert sorted(map(tuple, got.collect())) == best(rows, 5, 7)
+
+
 def test_top_k_over_blocks(spark):
     rng = np.random.default_rng(4)
     rows = [(k, [float(x) for x in rng.normal(size=4)]) for k in range(300)]
@@ -148,8 +158,8 @@ def test_near_edges(edge_docs, no_docs):
 # --- benchmark passages
 
 
-def leaks(docs, items, size=5):
-    def bag(words):
+def leaks(docs, items, most=5):
+    def bag(words, size):
         return collections.Counter(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
 
     out = set()
@@ -157,11 +167,12 @@ def leaks(docs, items, size=5):
         words = (text or "").lower().split()
         for item, passage in items:
             wanted = (passage or "").lower().split()
-            if len(wanted) < size:
+            size = min(most, len(wanted))
+            if not size:
                 continue
             last = max(len(words) - len(wanted), 0)
             for start in range(last + 1):
-                ours, theirs = bag(words[start : start + len(wanted)]), bag(wanted)
+                ours, theirs = bag(words[start : start + len(wanted)], size), bag(wanted, size)
                 shared = sum((ours & theirs).values())
                 every = sum(ours.values()) + sum(theirs.values()) - shared
                 if every and shared / every >= 0.8:
@@ -173,8 +184,10 @@ def leaks(docs, items, size=5):
 def test_leaks_equal_brute_force(spark, edge_docs, no_docs, bound):
     r = random.Random(3)
     items = [(k, " ".join(f"i{r.randrange(500)}" for _ in range(r.randint(12, 60)))) for k in range(12)]
-    items += [(50, items[0][1]), (51, None), (52, "too short"), (53, "")]
-    docs = []
+    items += [(50, items[0][1]), (51, None), (52, "too short"), (53, ""), (54, "One"), (55, "a b c d")]
+    items += [(56, "a a a a a a a a a a b"), (57, "five words are one shingle")]
+    docs = [(200, "too short"), (201, "this is too  short one a b c"), (202, "a b c d"), (203, "one"), (204, "a b c")]
+    docs += [(205, "x a a a a a a a a a a b y"), (206, "five words are one shingle"), (207, "words are one shingle")]
     for k in range(80):
         words = [f"i{r.randrange(500)}" for _ in range(r.randint(0, 80))]
         passage = edited(r, r.choice(items[:12])[1].split(), r.choice([0, 0, 1]))
@@ -183,7 +196,7 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs, bound):
     docs += [(k, " ".join(f"z{r.randrange(500)}" for _ in range(50))) for k in range(100, 110)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "text as words")
-    settings = decontaminate.LeakSettings(broadcast_shingles=bound)
+    settings = decontaminate.LeakSettings(broadcast_shingles=bound, exact=True)
     got = decontaminate.find_leaks(frame, benchmark, settings).collect()
     want = leaks(docs, items)
     # Windows are laid beside shared shingles, so of shifted windows the aligned one is told.
@@ -191,7 +204,9 @@ def test_leaks_equal_brute_force(spark, edge_docs, no_docs, bound):
     assert {(r.doc_id, r.item_id) for r in got} == {w[:2] for w in want}
     clean = decontaminate.remove_leaks(frame, benchmark, settings)
     assert {r.doc_id for r in clean.collect()} == {i for i, _ in docs} - {w[0] for w in want}
-    assert decontaminate.remove_leaks(edge_docs, benchmark, settings).count() == len(EDGE)
+    dirty = {w[0] for w in leaks(EDGE, items)}
+    left = [r.doc_id for r in decontaminate.remove_leaks(edge_docs, benchmark, settings).collect()]
+    assert sorted(left, key=str) == sorted([i for i, _ in EDGE if i not in dirty], key=str)
     assert decontaminate.find_leaks(no_docs, benchmark, settings).count() == 0
     assert decontaminate.find_leaks(frame, benchmark.where("false"), settings).count() == 0
 
@@ -220,6 +235,80 @@ def test_leaks_cut_or_replaced_at_the_end(spark):
     assert any(sum(a != b for a, b in zip(ours[k], theirs[k])) > 16 for k in ours)
 
 
+def borderline(r, count):
+    """Items, and texts that hold them with as much cut or replaced as 0.8 allows."""
+    items, docs = [], []
+    for k in range(count):
+        n = r.randint(9, 220)
+        words = [f"v{r.randrange(5000)}" for _ in range(n)]
+        items.append((k, " ".join(words)))
+        shingles, more = n - 4, [f"z{r.randrange(5000)}" for _ in range(30)]
+        replaced, cut = int(shingles * 0.2 / 1.8 + 1e-9), int(shingles * 0.2 + 1e-9)
+        if replaced:
+            docs.append((3 * k, " ".join(more + words[: n - replaced] + more)))
+            docs.append((3 * k + 1, " ".join(more + words[replaced:] + more)))
+        if cut:
+            docs.append((3 * k + 2, " ".join(words[: n - cut])))
+    return items, docs
+
+
+def test_fingerprints_find_borderline_passages(spark):
+    items, docs = borderline(random.Random(6), 500)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    found = {
+        exact: {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(
+            frame, benchmark, decontaminate.LeakSettings(exact=exact)
+        ).collect()}
+        for exact in (True, False)
+    }
+    want = {w[:2] for w in leaks(docs, items[:40]) if w[1] < 40}
+    assert {w for w in found[True] if w[1] < 40} == want
+    assert {i for i, _ in docs} <= {i for i, _ in found[True]}
+    recall = len(found[False] & found[True]) / len(found[True])
+    assert found[False] <= found[True] and recall >= 0.995, recall
+
+
+def test_fingerprints_decide(spark, monkeypatch):
+    """Without the exact parameter nothing is found beside the fingerprints within the radius."""
+    items, docs = borderline(random.Random(7), 20)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    within = decontaminate._within_radius
+    monkeypatch.setattr(decontaminate, "_within_radius", lambda *a: within(*a).where("false"))
+    assert decontaminate.find_leaks(frame, benchmark).count() == 0
+    assert decontaminate.find_leaks(frame, benchmark, decontaminate.LeakSettings(exact=True)).count() > 0
+
+
+def test_radius_follows_the_length():
+    assert [decontaminate.radius_of(n) for n in (1, 4, 5, 8)] == [0, 0, 0, 0]
+    radii = [decontaminate.radius_of(n) for n in range(9, 400)]
+    assert min(radii) >= 17 and max(radii) <= 26
+
+
+CLASHES = ["_key", "_id", "_text", "_shape", "key", "row", "words", "shape", "class", "window"]
+
+
+def test_stages_keep_columns_of_any_name(spark, edge_docs, no_docs):
+    labels = spark.createDataFrame([(4, 1), (7, 0)], "doc_id long, quality int")
+    benchmark = spark.createDataFrame([(1, "nothing like it")], "item_id long, text string")
+    for start in (edge_docs, no_docs):
+        docs = start.select("doc_id", "text", *[F.concat(F.lit(c), "text").alias(c) for c in CLASHES])
+        for after in (
+            near_dedup.keep_one(docs), decontaminate.remove_leaks(docs, benchmark), quality.keep_good(docs, labels),
+            quality.keep_good(docs, labels.where("false")),
+        ):
+            assert after.columns == docs.columns
+            rows = after.collect()
+            assert bool(rows) == (start is edge_docs)
+            for x in rows:
+                assert [x[c] for c in CLASHES] == [None if x.text is None else c + x.text for c in CLASHES]
+        renamed = docs.withColumnRenamed("text", "body").withColumnRenamed("doc_id", "id")
+        assert near_dedup.keep_one(renamed, text="body", doc_id="id").columns == renamed.columns
+        assert decontaminate.remove_leaks(renamed, benchmark, text="body", doc_id="id").columns == renamed.columns
+        assert quality.keep_good(renamed, labels, text="body", doc_id="id").columns == renamed.columns
+
+
 # --- repeated byte strings
 
 
