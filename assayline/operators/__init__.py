@@ -1,3 +1,4 @@
+from assayline.operators.distinct_sets import IdCodes, day_sets, distinct_over
 from assayline.operators.gold_events import (
     changed_item_days,
     event_pairs,
@@ -22,7 +23,10 @@ from assayline.operators.lookup import lookup_join
 from assayline.operators.silver import silver_event, silver_sales
 
 __all__ = [
+    "IdCodes",
     "changed_item_days",
+    "day_sets",
+    "distinct_over",
     "event_pairs",
     "gold_campaign",
     "gold_device",

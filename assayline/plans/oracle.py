@@ -267,6 +267,17 @@ def oracle_sql() -> dict[str, str]:
         found[f"table_{spec.name}"] = whole[spec.name]
     for name in ("silver_sales", "gold_funnel", "gold_item", "gold_sales_daily"):
         found[f"refreshed_{name}"] = found[name]
+    for name, table, group, column, day in (
+        ("funnel_sessions", "silver_event", "action", "session_id", "event_date"),
+        ("campaign_users", "silver_event", "campaign_id", "user_id", "event_date"),
+        ("region_users", "silver_sales", "region", "user_id", "dt"),
+    ):
+        # A group whose ids are all null has no set.
+        found[f"span_sets_{name}"] = _over_events(
+            f"SELECT {group}, count(DISTINCT {column}) AS distinct_ids FROM {table} "
+            f"WHERE {group} IS NOT NULL AND {column} IS NOT NULL "
+            f"AND {day} BETWEEN DATE '{FIRST}' AND DATE '{LAST}' GROUP BY {group}"
+        )
     for name, column in (("silver_event", "event_date"), ("gold_sales_user", "order_date")):
         found[f"range_{name}"] = (
             f"SELECT * FROM ({found[name]}) WHERE {column} BETWEEN DATE '{FIRST}' AND DATE '{LAST}'"

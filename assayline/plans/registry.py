@@ -8,17 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from assayline import operators as op
-from assayline.functions import target_day
+from assayline.functions import days_between, on_day, target_day
 from assayline.operators.lookup import LookupBounds
 from assayline.plans.pipeline import backfill, refresh, run_day, run_days
 from assayline.schemas import (
     BRONZE_EVENT,
+    CAMPAIGN_USERS,
     EVENT_PAIRS,
+    FUNNEL_SESSIONS,
     GOLD_FUNNEL,
     GOLD_ITEM,
     GOLD_SALES_DAILY,
     GOLD_SALES_USER,
     PIPELINE_TABLES,
+    REGION_USERS,
     SALES_PAIRS,
     SILVER_EVENT,
     SILVER_SALES,
@@ -265,6 +268,41 @@ def _range_query(spec: TableSpec) -> Query:
     return run
 
 
+_sets: dict[tuple[str, str], Warehouse] = {}
+
+
+def _span_query(spec: TableSpec) -> Query:
+    """Distinct ids from FIRST to LAST out of bitmaps that were stored in pieces of days."""
+
+    def run(spark, sf_dir):
+        loaded = (spark.sparkContext.applicationId, sf_dir)
+        if loaded not in _sets:
+            root = scratch_path(spark, "sets")
+            warehouse = Warehouse(spark, root, prefix=f"run_{uuid.uuid4().hex}")
+            sources = dict(zip(("events", "sales"), _silver(spark, sf_dir)))
+            codes = op.IdCodes(spark, f"{root}/codes")
+            for table, (source, column) in _SETS.items():
+                warehouse.create(table)
+                # Two overlapping pieces: most ids of the second have their code already.
+                for first, last in (("2024-01-01", DAY), (DAY, "2024-01-30")):
+                    days = days_between(first, last)
+                    rows = on_day(sources[source], table.partition, days)
+                    codes.extend(rows.select(F.col(column).alias("id")))
+                    sets = op.day_sets(rows, table, column, codes.read())
+                    warehouse.replace_days(table, sets, days)
+            _sets[loaded] = warehouse
+        return op.distinct_over(_sets[loaded].read(spec), spec, days_between(FIRST, LAST))
+
+    return run
+
+
+_SETS = {
+    FUNNEL_SESSIONS: ("events", "session_id"),
+    CAMPAIGN_USERS: ("events", "user_id"),
+    REGION_USERS: ("sales", "user_id"),
+}
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "record_scan": record_scan,
@@ -298,4 +336,6 @@ def queries() -> dict[str, Query]:
         found[f"refreshed_{spec.name}"] = _refreshed_query(spec)
     for spec in (SILVER_EVENT, GOLD_SALES_USER):
         found[f"range_{spec.name}"] = _range_query(spec)
+    for spec in _SETS:
+        found[f"span_{spec.name}"] = _span_query(spec)
     return found

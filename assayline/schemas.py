@@ -41,6 +41,7 @@ _TYPES = {
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
     "date": T.DateType(),
+    "binary": T.BinaryType(),
     "timestamp_ntz": T.TimestampNTZType(),
 }
 
@@ -227,6 +228,16 @@ GOLD_SALES_REGION = _gold(
     ("avg_order_amount", "double"),
 )
 
+def sets_of(name: str, group: str, partition: str) -> TableSpec:
+    """Bitmaps of the ids that each value of `group` has on a day, in pieces of 32,768 codes."""
+    fields = ((group, "string"), ("bucket", "bigint"), ("bitmap", "binary"))
+    return TableSpec("gold", f"sets_{name}", f"sets_{name}", fields, partition)
+
+
+FUNNEL_SESSIONS = sets_of("funnel_sessions", "action", "event_date")
+CAMPAIGN_USERS = sets_of("campaign_users", "campaign_id", "event_date")
+REGION_USERS = sets_of("region_users", "region", "dt")
+
 GOLD_TABLES = (
     GOLD_FUNNEL,
     GOLD_DEVICE,
