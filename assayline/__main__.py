@@ -1,4 +1,4 @@
-"""Command line for spark-submit or `python -m assayline`: land, day, days, refresh, backfill."""
+"""Command line for spark-submit or `python -m assayline`: land, compact, day, days, refresh, backfill."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from assayline.plans import backfill, refresh, run_day, run_days
 from assayline.session import build_session
 from assayline.sinks import Warehouse
 from assayline.sources import read_bronze, read_products
-from assayline.streaming import land_stream
+from assayline.streaming import compact, land_stream
 from assayline.streaming.landing import BUCKETS
 
 
@@ -26,6 +26,10 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     land.add_argument("--buckets", type=int, default=BUCKETS, help="buckets of a new bronze folder")
     land.add_argument("--max-bytes", type=int, help="bound of one micro-batch")
 
+    compacted = commands.add_parser("compact", help="one file a bucket in days with many files")
+    compacted.add_argument("--bronze", required=True)
+    compacted.add_argument("--most", type=int, default=8, help="files a bucket that a day may have")
+
     for name, text in (
         ("day", "replace one day"),
         ("days", "replace the days from the first to the last"),
@@ -62,6 +66,9 @@ def main(arguments: list[str] | None = None) -> int:
             buckets=given.buckets,
         )
         return 0
+    if given.command == "compact":
+        compact(spark, given.bronze, most=given.most)
+        return 0
     warehouse = Warehouse(spark, given.warehouse, given.prefix)
     days = None
     if given.command == "day":

@@ -14,6 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from assayline.functions import as_days
 from assayline.schemas import BRONZE, BRONZE_EVENT
+from assayline.sinks.versions import Versions
 
 _CORRUPT = "_corrupt_record"
 _WITH_CORRUPT = T.StructType(BRONZE.fields + [T.StructField(_CORRUPT, T.StringType())])
@@ -68,16 +69,36 @@ def write_records(records: DataFrame, path: str) -> None:
 def read_bronze(
     spark: SparkSession, *paths: str, day: date | str | Iterable[date | str] | None = None
 ) -> DataFrame:
-    """The landed table, from one or more folders. For some days only theirs are listed."""
-    reader = spark.read.schema(BRONZE_EVENT.schema)
+    """The landed table, from one or more folders. For some days only theirs are listed.
+
+    Days that landing keeps in versions are read from their current ones.
+    """
     tables = []
     for path in paths:
-        days = [None] if day is None else as_days(day)
-        for folder in [path if d is None else f"{path}/event_date={d.isoformat()}" for d in days]:
-            try:
-                tables.append(reader.option("basePath", path).parquet(folder))
-            except AnalysisException as missing:
-                # Nothing landed on that day; a folder without any day at all is a mistake.
-                if day is None or missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
+        versions = Versions(spark, path.rstrip("/"), BRONZE_EVENT.partition)
+        counting = versions.counting()
+        if not counting:
+            tables += _plain_days(spark, path, day)
+            continue
+        if day is None:
+            folders = versions.all_current().values()
+        else:
+            folders = filter(None, [versions.current(d, counting) for d in as_days(day)])
+        if folders := list(folders):
+            rows = spark.read.schema(BRONZE_EVENT.schema).option("basePath", path).parquet(*folders)
+            tables.append(rows.select(*BRONZE_EVENT.columns))
     return reduce(DataFrame.unionByName, tables or [spark.createDataFrame([], BRONZE_EVENT.schema)])
+
+
+def _plain_days(spark: SparkSession, path: str, day) -> list[DataFrame]:
+    """Days as folders of files, written by others than landing."""
+    reader, tables = spark.read.schema(BRONZE_EVENT.schema), []
+    days = [None] if day is None else as_days(day)
+    for folder in [path if d is None else f"{path}/event_date={d.isoformat()}" for d in days]:
+        try:
+            tables.append(reader.option("basePath", path).parquet(folder))
+        except AnalysisException as missing:
+            # Nothing landed on that day; a folder without any day at all is a mistake.
+            if day is None or missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return tables

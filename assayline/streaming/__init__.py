@@ -1,3 +1,3 @@
-from assayline.streaming.landing import land_batch, land_stream
+from assayline.streaming.landing import compact, land_batch, land_stream
 
-__all__ = ["land_batch", "land_stream"]
+__all__ = ["compact", "land_batch", "land_stream"]

@@ -2,6 +2,7 @@
 
 import json
 import os
+from datetime import date
 
 import pytest
 
@@ -14,7 +15,8 @@ from assayline.sources import (
     split_records,
     write_records,
 )
-from assayline.streaming import land_batch, land_stream, landing
+from assayline.sinks.versions import Versions
+from assayline.streaming import compact, land_batch, land_stream, landing
 from assayline.streaming.changes import ChangedDays
 from tests.helpers import EDGE_RECORDS, bronze_of, plan_of, record, rows_of
 
@@ -207,7 +209,7 @@ def test_what_has_landed_is_read_by_bucket_and_never_shuffled(spark, paths):
     land_batch(records, paths["bronze"], buckets=4)
     late = bronze_of(spark, [record("late", "2026-01-10 05:00:00", "S", "view")])
     land_batch(late, paths["bronze"])
-    table = landing._table(spark, paths["bronze"], 99)
+    table = landing.LandedTable.at(spark, paths["bronze"], 99)
     rows = landing.unlanded(late, table)
     plan = plan_of(rows)
     # The branch below the join that scans the landed table, down to its scan.
@@ -222,11 +224,16 @@ def test_what_has_landed_is_read_by_bucket_and_never_shuffled(spark, paths):
     assert "2026-01-11" not in plan and rows_of(rows) == []
 
 
+def data_files(paths, day):
+    """Data files of the day's current version."""
+    folder = f"{paths['bronze']}/event_date={day}"
+    return [f for f in os.listdir(f"{folder}/{max(os.listdir(folder))}") if f.startswith("part-")]
+
+
 def test_files_of_a_day_are_no_more_than_the_buckets(spark, paths):
     many = bronze_of(spark, [record(f"e{i}", "2026-01-10 00:00:00", "S", "view") for i in range(200)])
     land_batch(many.repartition(16), paths["bronze"], buckets=4)
-    files = [f for f in os.listdir(f"{paths['bronze']}/event_date=2026-01-10") if f.startswith("part-")]
-    assert len(files) == 4
+    assert len(data_files(paths, "2026-01-10")) == 4
     assert len(ids(spark, paths["bronze"])) == 200
 
 
@@ -234,18 +241,15 @@ def test_records_without_an_id_spread_over_the_buckets(spark, paths):
     rows = [record(None, "2026-01-10 00:00:00", f"S{i}", "view") for i in range(200)]
     for _ in range(2):
         land_batch(bronze_of(spark, rows), paths["bronze"], buckets=4)
-    files = [f for f in os.listdir(f"{paths['bronze']}/event_date=2026-01-10") if f.startswith("part-")]
-    assert len(files) == 4 and read_bronze(spark, paths["bronze"]).count() == 200
+    assert len(data_files(paths, "2026-01-10")) == 4 and read_bronze(spark, paths["bronze"]).count() == 200
 
 
 def test_another_session_finds_the_buckets_and_days(spark, paths):
     land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"], buckets=4)
-    name = landing._table(spark, paths["bronze"], 4)
-    spark.sql(f"DROP TABLE {name}")
-    landing._tables.clear()
-    land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"], buckets=9)
-    assert ids(spark, paths["bronze"]) == UNIQUE
-    assert landing._buckets(spark, name) == 4
+    landing.LandedTable._open.clear()
+    land_batch(bronze_of(spark, [*EDGE_RECORDS, NO_TIME]), paths["bronze"], buckets=9)
+    assert sorted(ids(spark, paths["bronze"])) == sorted([*UNIQUE, "n1"])
+    assert landing.LandedTable.at(spark, paths["bronze"]).buckets == 4
 
 
 def test_a_folder_without_buckets_is_refused(spark, paths):
@@ -284,3 +288,107 @@ def test_a_batch_that_fails_in_between_lands_when_it_runs_again(spark, paths, mo
     land_batch(bronze_of(spark, EDGE_RECORDS), paths["bronze"])
     assert ids(spark, paths["bronze"]) == UNIQUE
     assert len(ChangedDays(spark, paths["bronze"]).pending("w")) == 2
+
+
+# --- compaction
+
+
+def in_batches(spark, paths, records, size=2, buckets=2):
+    for k in range(0, len(records), size):
+        land_batch(bronze_of(spark, records[k : k + size]), paths["bronze"], buckets=buckets)
+
+
+def day_of(k):
+    return [record(f"e{k}-{i}", f"2026-01-{k:02} 00:00:00", "S", "view") for i in range(10)]
+
+
+def test_compaction_bounds_the_files_and_keeps_the_records(spark, paths):
+    records = [*day_of(10), *day_of(11)[:2], *[record(f"n{i}", None, "S", "view") for i in range(6)]]
+    in_batches(spark, paths, records)
+    before = rows_of(read_bronze(spark, paths["bronze"]))
+    assert len(data_files(paths, "2026-01-10")) > 4
+    days = compact(spark, paths["bronze"], most=2)
+    assert str(days[0]) == "2026-01-10" and "2026-01-11" not in map(str, days)
+    assert len(data_files(paths, "2026-01-10")) <= 2
+    assert rows_of(read_bronze(spark, paths["bronze"])) == before
+    one_day = read_bronze(spark, paths["bronze"], day="2026-01-10")
+    assert sorted(r.event_id for r in one_day.collect()) == [r["event_id"] for r in day_of(10)]
+    # Landing goes on against the compacted day, in this session and in another.
+    in_batches(spark, paths, records)
+    landing.LandedTable._open.clear()
+    in_batches(spark, paths, [*records, record("late", "2026-01-10 03:00:00", "S", "view")])
+    assert sorted(ids(spark, paths["bronze"])) == sorted([r["event_id"] for r in records] + ["late"])
+    assert compact(spark, paths["bronze"], most=50) == []
+
+
+def test_a_version_that_is_being_read_stays(spark, paths):
+    in_batches(spark, paths, day_of(10))
+    reading = read_bronze(spark, paths["bronze"])
+    compact(spark, paths["bronze"], most=1)
+    assert reading.count() == 10
+    in_batches(spark, paths, [record(f"x{i}", "2026-01-10 00:00:00", "S", "view") for i in range(8)])
+    compact(spark, paths["bronze"], most=1)
+    assert len(os.listdir(f"{paths['bronze']}/event_date=2026-01-10")) == 2
+
+
+def test_a_batch_that_lands_during_compaction_is_kept(spark, paths, monkeypatch):
+    """Once between the copy and the switch, once after it, into the version that was left."""
+    late = [record(f"late{k}", "2026-01-10 01:00:00", "S", "view") for k in (0, 1)]
+    in_batches(spark, paths, day_of(10))
+    real = Versions.finish
+
+    def finish_after_a_batch(self, run, days):
+        land_batch(bronze_of(spark, late[:1]), paths["bronze"])
+        return real(self, run, days)
+
+    with monkeypatch.context() as m:
+        m.setattr(Versions, "finish", finish_after_a_batch)
+        compact(spark, paths["bronze"], most=1)
+    assert sorted(ids(spark, paths["bronze"])) == sorted([r["event_id"] for r in day_of(10)] + ["late0"])
+
+    in_batches(spark, paths, [record(f"y{i}", "2026-01-10 00:00:00", "S", "view") for i in range(6)])
+    append = landing._append
+    ran = []
+
+    def append_to_the_old_version(records, table):
+        if ran:
+            return append(records, table)
+        ran.append(1)
+        old = append(records, table)
+        # As if the day had been copied just before the batch was written, and switched to after.
+        table.versions.finish(run, [date(2026, 1, 10)])
+        return old
+
+    run = landing.LandedTable.at(spark, paths["bronze"]).versions.start()
+    rows = read_bronze(spark, paths["bronze"], day="2026-01-10")
+    keyed = rows.withColumn("record_key", landing._identity()).drop("event_date")
+    folder = landing.LandedTable.at(spark, paths["bronze"]).versions.folder(date(2026, 1, 10), run)
+    staging = f"staging_{run.replace('-', '_')}"
+    spark.sql(
+        f"CREATE TABLE {staging} ({landing._COLUMNS}) USING PARQUET CLUSTERED BY (record_key) "
+        f"INTO 2 BUCKETS LOCATION '{folder}'"
+    )
+    keyed.repartition(2, "record_key").write.insertInto(staging)
+    with monkeypatch.context() as m:
+        m.setattr(landing, "_append", append_to_the_old_version)
+        land_batch(bronze_of(spark, late), paths["bronze"])
+    spark.sql(f"DROP TABLE {staging}")
+    found = ids(spark, paths["bronze"])
+    assert found.count("late1") == 1 and len(found) == len(set(found)) == 18
+
+
+def test_a_compaction_that_fails_changes_nothing(spark, paths, monkeypatch):
+    in_batches(spark, paths, day_of(10))
+    files = data_files(paths, "2026-01-10")
+    writer = type(spark.range(1).write)
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(writer, "insertInto", broken)
+        with pytest.raises(OSError):
+            compact(spark, paths["bronze"], most=1)
+    assert data_files(paths, "2026-01-10") == files and len(ids(spark, paths["bronze"])) == 10
+    compact(spark, paths["bronze"], most=1)
+    assert len(data_files(paths, "2026-01-10")) == 2
