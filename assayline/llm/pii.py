@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from assayline.llm.tables import forget, let, written
+from assayline.llm.tables import forget, holding, written
 from assayline.operators.lookup import LookupBounds, fits
 
 # The kinds in their order, and their patterns.
@@ -172,16 +172,19 @@ def _beside(rows: DataFrame, side: DataFrame, on, how: str = "inner") -> DataFra
 
 
 def revealing(rows: DataFrame, settings: PiiSettings = PiiSettings()) -> DataFrame:
-    """term and the largest share it reveals of any entity. `rows` has text (no nulls), key
-    (md5 of the text) and base, its pattern matches."""
-    matched = written(rows.where(F.size("base") > 0).select("key", "text", "base"), "pii-matched")
+    """term and the largest share it reveals of any entity. `rows` has text (no nulls) and key
+    (md5 of the text)."""
+    found = holding(rows.select("key", "text"), "base", base_spans(F.col("text")))
+    matched = written(found.where(F.size("base") > 0), "pii-matched")
     clear = sanitised(F.col("text"), F.col("base"), " ")
     # The copies of a text are one row, without the text.
+    marks = [_two_smallest(F.transform("terms", _seeded(k))) for k in range(settings.marks)]
+    distinct = matched.groupBy("key").agg(
+        F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base")
+    )
     texts = written(
-        matched.groupBy("key")
-        .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base"))
-        .select(
-            "key", "copies", _terms(clear).alias("terms"),
+        holding(distinct, "terms", _terms(clear)).select(
+            "key", "copies", "terms", F.array(*marks).alias("marks"),
             F.array_distinct(F.transform("base", _entity)).alias("entities"),
         ),
         "pii-texts",
@@ -193,8 +196,7 @@ def revealing(rows: DataFrame, settings: PiiSettings = PiiSettings()) -> DataFra
         ),
         "pii-counts",
     )
-    marks = [_two_smallest(F.transform("terms", _seeded(k))) for k in range(settings.marks)]
-    held = texts.select("key", "copies", F.array(*marks).alias("marks"), F.explode("entities").alias("entity"))
+    held = texts.select("key", "copies", "marks", F.explode("entities").alias("entity"))
     # The set of an entity's texts by two 64-bit sums.
     same = [F.bit_xor(F.xxhash64("key", F.lit(k))).alias(f"set{k}") for k in (0, 1)]
     classes = written(
@@ -265,9 +267,7 @@ def _seeded(seed: int):
 
 
 def _two_smallest(hashes: Column) -> Column:
-    return let(
-        hashes, lambda h: F.array(F.array_min(h), F.array_min(F.filter(h, lambda x: x > F.array_min(h))))
-    )
+    return F.slice(F.sort_array(hashes), 1, 2)  # of different words, so different
 
 
 def _mark_without(term: str, seed: int) -> Column:
@@ -305,11 +305,11 @@ def _annotated(rows: DataFrame, settings: PiiSettings) -> DataFrame:
     """`rows` (row, text) with spans: pattern matches by kind and then start, and the
     revealing words by place. Texts stay where they are."""
     keyed = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", F.unhex(F.md5("text")))
-    whole = keyed.withColumn("base", base_spans(F.col("text")))
+    whole = holding(keyed, "base", base_spans(F.col("text")))
     kind = F.when(F.col("reveals") >= settings.remove, KINDS.index("removed")).otherwise(
         KINDS.index("generalised")
     )
-    strong = revealing(whole, settings).select("term", kind.alias("kind"))
+    strong = revealing(keyed, settings).select("term", kind.alias("kind"))
     words = keyed.select("key", F.explode(_terms(F.col("text"))).alias("term"))
     hits = written(
         _beside(words, strong, "term")
@@ -328,11 +328,8 @@ def _annotated(rows: DataFrame, settings: PiiSettings) -> DataFrame:
 
     place = F.array_sort(F.filter("extra", clear))
     sized = F.broadcast(hits) if _small(hits) else hits.hint("merge")
-    return (
-        whole.join(sized, "key", "left")
-        .withColumn("extra", extra)
-        .select("row", "text", F.concat("base", place).alias("spans"))
-    )
+    found = holding(whole.join(sized, "key", "left"), "extra", extra)
+    return holding(found, "spans", F.concat("base", place)).select("row", "text", "spans")
 
 
 def _small(hits: DataFrame) -> bool:

@@ -74,6 +74,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def holding(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that is computed once for each row, however often it is used: a
+    projection would be merged into those that follow and computed in each place anew."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """`df` stored once in the cluster's shared folder and read back.
 
