@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pandas as pd
@@ -159,8 +159,9 @@ class WaveletTree:
         at = places
         for shift, blocks, before, zeros in self.levels:
             block = at >> 6
-            ones = before[block] + np.bitwise_count(blocks[block] & _BELOW[at & 63])
-            at = np.where((symbols >> shift) & 1 == 1, zeros + ones, at - ones)
+            inside = blocks.take(block, mode="clip") & _BELOW.take(at & 63, mode="clip")
+            ones = before.take(block, mode="clip") + np.bitwise_count(inside)
+            at = np.where((symbols >> shift & 1).astype(bool), ones + zeros, at - ones)
         return at - self.begin[symbols]
 
 
@@ -210,15 +211,15 @@ def search(parts: list[list[bytes]], firsts: np.ndarray, lasts: np.ndarray, leng
     `firsts` and `lasts` are the smallest and largest documents that hold each part, in
     ascending order of `firsts`.
     """
-    numbers: dict[bytes, int] = defaultdict()
-    numbers.default_factory = lambda: len(numbers) + 1
-    text, owner, offset = [0], [-1], [0]
-    for k, words in enumerate(parts):
-        text += [numbers[w] for w in words]
-        text.append(0)
-        owner += [k] * (len(words) + 1)
-        offset += range(len(words) + 1)
-    text, owner, offset = np.array(text), np.array(owner), np.array(offset)
+    numbers: dict[bytes, int] = defaultdict(count(1).__next__)
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+    flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(parts)), np.int64, sizes.sum())
+    # A zero before the first part and after every one.
+    owner = np.r_[-1, np.repeat(np.arange(len(parts)), sizes + 1)]
+    begins = np.cumsum(sizes + 1) - sizes
+    offset = np.arange(len(owner)) - np.r_[0, np.repeat(begins, sizes + 1)]
+    text = np.zeros(len(owner), np.int64)
+    text[1:][offset[1:] < np.repeat(sizes, sizes + 1)] = flat
     index = FmIndex(text, len(numbers) + 1, length)
     ends = np.flatnonzero((text > 0) & (offset >= length - 1))
     # A part of several documents is one place here, but enough by itself.
