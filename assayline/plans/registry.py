@@ -45,6 +45,8 @@ DAY = "2024-01-15"
 RUN_DATE = "2024-01-16"
 # Several days loaded in one run.
 FIRST, LAST = "2024-01-10", "2024-01-20"
+# The supplied tables are small: few files a day.
+FEW_BUCKETS = 4
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +155,9 @@ def _landed(records: DataFrame, label: str, **options) -> DataFrame:
     root = scratch_path(spark, label)
     for _ in range(2):
         write_records(records, f"{root}/raw")
-    land_stream(spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", **options)
+    land_stream(
+        spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", buckets=FEW_BUCKETS, **options
+    )
     return BRONZE_EVENT.conform(read_bronze(spark, f"{root}/bronze"))
 
 
@@ -169,7 +173,10 @@ def record_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_records(records.where(~bad[0] & ~bad[1]), f"{root}/raw")
     lines = records.where(bad[0] | bad[1]).select(F.when(bad[0], cut).otherwise(soon))
     lines.write.mode("append").text(f"{root}/raw")
-    land_stream(spark, f"{root}/raw", f"{root}/bronze", f"{root}/state", rejects_path=f"{root}/rejects")
+    land_stream(
+        spark, f"{root}/raw", f"{root}/bronze", f"{root}/state",
+        rejects_path=f"{root}/rejects", buckets=FEW_BUCKETS,
+    )
     return spark.read.schema("line string, file string, reason string").json(f"{root}/rejects").select(
         "line", "reason"
     )
@@ -184,8 +191,8 @@ def table_silver_sales_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales backfilled from a landed folder of their own, and one day run again."""
     root = scratch_path(spark, "apart")
     records = _bronze(spark, sf_dir)
-    land_batch(records.where("action <> 'purchase'"), f"{root}/events")
-    land_batch(records.where("action = 'purchase'"), f"{root}/sales")
+    land_batch(records.where("action <> 'purchase'"), f"{root}/events", buckets=FEW_BUCKETS)
+    land_batch(records.where("action = 'purchase'"), f"{root}/sales", buckets=FEW_BUCKETS)
     events, sales = read_bronze(spark, f"{root}/events"), read_bronze(spark, f"{root}/sales")
     products = _products(spark, sf_dir)
     warehouse = Warehouse(spark, f"{root}/warehouse", prefix=f"run_{uuid.uuid4().hex}")
@@ -239,7 +246,7 @@ def _refreshed_query(spec: TableSpec) -> Query:
             late = F.crc32("event_id") % 3 == 0
             warehouse = Warehouse(spark, f"{root}/tables", prefix=f"run_{uuid.uuid4().hex}")
             for part in (records.where(~late), records.where(late), records.where(late)):
-                land_batch(part, f"{root}/bronze")
+                land_batch(part, f"{root}/bronze", buckets=FEW_BUCKETS)
                 landed = read_bronze(spark, f"{root}/bronze")
                 refresh(warehouse, landed, products, [f"{root}/bronze"])
             _refreshed[loaded] = warehouse
