@@ -6,8 +6,10 @@ the day without a date, a record without an id is identified by all its fields.
 
 The landed table is bucketed by what identifies a record. A micro-batch is dealt into the
 same buckets and compared with them where they lie: of what has landed, only that one column
-of the touched days is read, and it is never shuffled. Each batch adds a file to every bucket
-of its days; `compact` makes one of them again. Days are kept in versions (`sinks.versions`),
+of the touched days is read, and it is not shuffled. A batch too large for a task a bucket is
+dealt into several parts of each bucket, and that one column with it, so that no task grows
+with the batch. Each batch adds a file to every bucket of its days, or to every part of one;
+`compact` makes one of them again. Days are kept in versions (`sinks.versions`),
 batches go into the current one.
 """
 
@@ -16,6 +18,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,6 +32,8 @@ from assayline.streaming.changes import ChangedDays
 
 KEY = "record_key"
 BUCKETS = 16
+# Bytes of a batch, as rows in memory, that one task sorts.
+TASK_BYTES = 64 * 1024 * 1024
 # The version that batches write until a day is first compacted.
 _LANDED = "0000000000-landed"
 _COLUMNS = ", ".join(f"{column} {kind}" for column, kind in BRONZE_EVENT.fields) + f", {KEY} string"
@@ -128,7 +134,7 @@ def _append(records: DataFrame, table: LandedTable) -> bool:
         if not days:
             return False
         ChangedDays(spark, table.path).note(d for d in days if d is not None)
-        # Every task holds one bucket, so a day gets one file for each.
+        # Every task holds one bucket or a part of it, so a day gets one file for each.
         fresh.select(*BRONZE_EVENT.columns[:-1], KEY, BRONZE_EVENT.partition).write.mode(
             "append"
         ).insertInto(table.name)
@@ -138,17 +144,23 @@ def _append(records: DataFrame, table: LandedTable) -> bool:
 
 
 def unlanded(records: DataFrame, table: LandedTable) -> DataFrame:
-    """One of each record that the landed table does not hold yet, dealt into its buckets."""
+    """One of each record that the landed table does not hold yet, dealt into its buckets or,
+    if they are many, into equal parts of them."""
     spark = records.sparkSession
     dated = BRONZE_EVENT.conform(records.withColumn("event_date", event_day()))
     keyed = dated.withColumn(KEY, _identity())
-    fresh = keyed.repartition(table.buckets, KEY).dropDuplicates([KEY])
-    days = _days(dated)
+    sizes = _day_sizes(dated)
+    days, parts = list(sizes), -(-sum(sizes.values()) // (TASK_BYTES * table.buckets))
+    # Of a multiple of the buckets, every part lies in one bucket.
+    dealt = table.buckets * max(1, parts)
+    fresh = keyed.repartition(dealt, KEY).dropDuplicates([KEY])
     table.see(spark, days)
     touched = F.col("event_date").isin([d for d in days if d is not None])
     if None in days:
         touched = touched | F.col("event_date").isNull()
     known = spark.table(table.name).where(touched).select(F.col(KEY).alias("_known"))
+    if dealt > table.buckets:
+        known = known.repartition(dealt, "_known")
     # What is landed grows without bound, so it is never broadcast.
     return fresh.join(known.hint("merge"), fresh[KEY] == known["_known"], "left_anti")
 
@@ -158,6 +170,14 @@ def _days(rows: DataFrame) -> list:
     return [row[0] for row in rows.select("event_date").distinct().collect()]
 
 
+def _day_sizes(rows: DataFrame) -> dict[date | None, int]:
+    """Bytes by day that the rows take in memory: eight a column, and their strings."""
+    strings = [c for c, kind in rows.dtypes if kind == "string"]
+    width = reduce(add, [F.coalesce(F.octet_length(c), F.lit(0)) for c in strings])
+    sizes = rows.groupBy("event_date").agg(F.sum(width + 8 * len(rows.columns)).alias("size"))
+    return {row["event_date"]: row["size"] for row in sizes.collect()}
+
+
 def _identity() -> Column:
     """What makes a record of a day the same one. Without an id, only an equal record is; the
     day is part of it, so that one column decides. Never null: records without an id spread

@@ -5,6 +5,7 @@ import os
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayline.schemas import BRONZE, BRONZE_FIELDS
 from assayline.sources import (
@@ -237,6 +238,27 @@ def test_files_of_a_day_are_no_more_than_the_buckets(spark, paths):
     assert len(ids(spark, paths["bronze"])) == 200
 
 
+def test_a_large_batch_is_dealt_into_parts_of_the_buckets(spark, paths, monkeypatch):
+    monkeypatch.setattr(landing, "TASK_BYTES", 4_000)
+    records = [record(f"e{k}", f"2026-01-{10 + k % 3} 09:00:00", "S", "view") for k in range(400)]
+    first, every = (bronze_of(spark, r) for r in (records[::2], records + records[:50]))
+    land_batch(first, paths["bronze"], buckets=2)
+    table = landing.LandedTable.at(spark, paths["bronze"])
+    rows = landing.unlanded(every, table).select(landing.KEY, F.spark_partition_id().alias("part"))
+    placed = rows.select("part", F.expr(f"pmod(hash({landing.KEY}), 2)").alias("bucket")).collect()
+    assert len(placed) == 200
+    parts = {part: sum(p == part for p, _ in placed) for part, _ in placed}
+    assert len(parts) > 10 and max(parts.values()) < 40
+    assert len(set(placed)) == len(parts)  # every part lies in one bucket
+    for _ in range(2):
+        land_batch(every, paths["bronze"])
+        assert ids(spark, paths["bronze"]) == sorted(r["event_id"] for r in records)
+    compact(spark, paths["bronze"], most=1)
+    assert ids(spark, paths["bronze"]) == sorted(r["event_id"] for r in records)
+    land_batch(bronze_of(spark, records[:5]), paths["bronze"])
+    assert len(ids(spark, paths["bronze"])) == 400
+
+
 def test_records_without_an_id_spread_over_the_buckets(spark, paths):
     rows = [record(None, "2026-01-10 00:00:00", f"S{i}", "view") for i in range(200)]
     for _ in range(2):
