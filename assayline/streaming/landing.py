@@ -270,8 +270,15 @@ def land_stream(
     query.start().awaitTermination()
 
 
+def _for_both(lines: DataFrame) -> DataFrame:
+    """What is kept of split lines: of a good one its record, of a bad one the line itself."""
+    bad = F.col("reason").isNotNull()
+    record = F.when(~bad, F.col("record")).alias("record")
+    return lines.select(*[F.when(bad, F.col(c)).alias(c) for c in ("line", "file")], record, "reason")
+
+
 def _land_good(lines: DataFrame, bronze_path: str, rejects_path: str, buckets: int) -> None:
-    lines = lines.persist()
+    lines = _for_both(lines).persist()
     try:
         bad = lines.where(F.col("reason").isNotNull()).select("line", "file", "reason")
         bad.write.mode("overwrite").json(rejects_path)

@@ -184,6 +184,15 @@ def test_good_and_bad_lines_come_from_one_scan(spark, paths):
     lines.unpersist()
 
 
+def test_a_line_is_kept_for_landing_or_for_the_rejects(spark, paths):
+    send(paths["raw"], EDGE_RECORDS, "1.json", extra=["{not json"])
+    kept = landing._for_both(split_records(spark.read, paths["raw"])).collect()
+    assert sum(r.reason is None for r in kept) == len(EDGE_RECORDS)
+    for row in kept:
+        good = row.reason is None
+        assert (row.record is not None) == good and (row.line is None) == good and (row.file is None) == good
+
+
 def test_without_rejects_a_bad_time_fails(spark, paths):
     send(paths["raw"], EDGE_RECORDS, "1.json", [BAD_TIME])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
