@@ -126,6 +126,10 @@ class TreeEncoder:
         if len(self.words) > self.settings.remembered // 2:
             self.older, self.words = self.words, {}
 
+    def forget_all(self) -> None:
+        """Drop all words; call it after a task, as the worker goes on with other work."""
+        self.older, self.words = {}, {}
+
     def encode_decode(self, text: str) -> tuple[bytes, str]:
         """Ids as little-endian 32-bit integers and their decoded text. `learn` it before."""
         if len(text) > self.settings.leaf:
@@ -264,7 +268,7 @@ _encoders: dict[tuple, TreeEncoder] = {}
 
 
 def encoder(path: str, settings: TreeSettings) -> TreeEncoder:
-    """One per Python worker, so its memory of words serves all batches."""
+    """One per Python worker, so its memory of words serves all batches of a task."""
     key = path, settings
     if key not in _encoders:
         _encoders[key] = TreeEncoder(path, settings)
@@ -272,14 +276,17 @@ def encoder(path: str, settings: TreeSettings) -> TreeEncoder:
 
 
 def _texts(batches: Iterator[pd.DataFrame], enc: TreeEncoder, at_once: int = 256):
-    for batch in batches:
-        texts = batch["text"].fillna("").tolist()
-        ids = batch["doc_id"]
-        for k in range(0, len(texts), at_once):
-            part = texts[k : k + at_once]
-            enc.forget()
-            enc.learn([t for t in part if len(t) <= enc.settings.leaf])
-            yield ids[k : k + at_once].reset_index(drop=True), part
+    try:
+        for batch in batches:
+            texts = batch["text"].fillna("").tolist()
+            ids = batch["doc_id"]
+            for k in range(0, len(texts), at_once):
+                part = texts[k : k + at_once]
+                enc.forget()
+                enc.learn([t for t in part if len(t) <= enc.settings.leaf])
+                yield ids[k : k + at_once].reset_index(drop=True), part
+    finally:
+        enc.forget_all()
 
 
 def encode_documents(

@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -48,6 +49,15 @@ def test_tree_equals_the_library():
         assert decoded == library.decode(want, skip_special_tokens=False)
 
 
+def test_a_worker_keeps_no_words_after_a_task():
+    encoder = bpe_tree.TreeEncoder(WORDS)
+    rows = pd.DataFrame({"doc_id": ["1", "2"], "text": ["some words here", "others"]})
+    for ids, part in bpe_tree._texts(iter([rows]), encoder):
+        assert len(encoder.words) == 4 and [encoder.encode_decode(t)[1] for t in part]
+    assert not encoder.words and not encoder.older
+    assert [len(p) for _, p in bpe_tree._texts(iter([rows, rows]), encoder)] == [2, 2]
+
+
 def test_counts_equal_the_library():
     library = Tokenizer.from_file(BYTES)
     counter = token_counts.MergeCounter(BYTES)
